@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,11 @@ from slotledger.functions import movement_parts, occupancy
 from slotledger.operators import billing, bronze, ledger, marts, quality, spine, upsert
 from slotledger.operators.bronze import time_literal
 from slotledger.plans.oracle import on_both, on_ledger, on_operations, on_spine
+from slotledger.plans.pipeline import Warehouse
 from slotledger.plans.sample_ledger import AS_OF, SampleLedger, text
-from slotledger.sources.raw import tag
-from slotledger.session import cut
+from slotledger.session import cut, shared_folder
+from slotledger.sources.raw import read_landing, tag
+from slotledger.streaming import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -691,7 +694,7 @@ def json_directories(sample):
 SELECT IF(value >= 5, CAST(user_id AS VARCHAR), NULL) AS doc_id, 'demand' AS entity_type,
        CASE event_type WHEN 'error' THEN 'puttorecyclebin' ELSE 'restorefromrecyclebin' END
          AS event_type,
-       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS moment, CAST(event_id AS VARCHAR) AS name
+       CAST(ts AS VARCHAR) AS moment, CAST(event_id AS VARCHAR) AS name
 FROM events WHERE event_type IN ('error', 'signup')""")
 def audit_flatten(sample):
     return bronze.flatten_audit(sample.raw_audit_contexts())
@@ -778,10 +781,7 @@ def high_watermark(sample):
     return fetched.select(time_literal(since).alias("next_request"), "to_fetch")
 
 
-@query(on_ledger("""
-, kept AS (
-  SELECT * FROM audit_events)
-SELECT doc_id, status FROM audit_latest"""))
+@query(on_ledger("SELECT doc_id, status FROM audit_latest"))
 def audit_two_level(sample):
     """Contexts to events, events merged into the stored audit, then the status per document."""
     flat = bronze.flatten_audit(
@@ -800,3 +800,37 @@ def audit_two_level(sample):
         merged.filter(F.col("event_type") == S.EVENT_RESTORED),
     )
     return status.select("doc_id", "status")
+
+
+# --- whole runs ------------------------------------------------------------
+
+def _folder(sample: SampleLedger, label: str) -> str:
+    return f"{shared_folder(sample.spark)}/{sample.spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+@query("SELECT entity, CAST(COUNT(*) AS BIGINT) AS objects FROM (" + """
+  SELECT 'product' AS entity FROM part
+  UNION ALL SELECT 'counterparty' FROM customer
+  UNION ALL SELECT 'uom' FROM nation) landed GROUP BY entity""")
+def landing_union(sample):
+    """JSON-line files of several kinds of objects, read and tagged as one raw table."""
+    kinds = {"product": "part", "counterparty": "customer", "uom": "nation"}
+    folders = {}
+    for entity, table in kinds.items():
+        rows = sample.table(table)
+        folders[entity] = _folder(sample, f"landing-{entity}")
+        rows.select(F.to_json(F.struct(*rows.columns))).write.text(folders[entity])
+    raw = read_landing(sample.spark, folders)
+    return raw.groupBy("entity").agg(F.count("raw_json").alias("objects"))
+
+
+@query(_DOCUMENT_SQL)
+def stream_ingest(sample):
+    """The JSON documents arriving as files, taken in by a stream into the typed tables."""
+    landing = _folder(sample, "stream")
+    sample.raw_documents().write.json(landing)
+    warehouse = Warehouse(sample.spark, _folder(sample, "warehouse"), AS_OF)
+    ingest_stream(warehouse, landing, _folder(sample, "state")).awaitTermination()
+    return _flat(
+        ledger.union_documents([warehouse.table("bronze", k) for k in S.DOCUMENT_ENTITIES])
+    )

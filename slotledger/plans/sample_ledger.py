@@ -245,7 +245,7 @@ class SampleLedger:
         documents = joined.groupBy(*header).agg(
             F.array_sort(F.collect_list(position)).alias("rows")
         )
-        time = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSS")
+        time = text("o_orderdate")
         store = ref(F.col("store"))
         body = F.struct(
             text("l_orderkey").alias("id"),
@@ -347,7 +347,7 @@ class SampleLedger:
                 F.concat(F.lit("L"), text("l_suppkey")).alias("lot"),
                 F.when(
                     F.col("first_ship") >= F.lit("1999-01-01").cast(S.TIME),
-                    F.date_format("first_ship", "yyyy-MM-dd"),
+                    text(F.to_date("first_ship")),
                 ).alias("mfg_date"),
                 F.col("first_ship").alias("updated"),
             )
@@ -361,7 +361,7 @@ class SampleLedger:
 
         body = F.struct(
             F.col("variant_id").alias("id"),
-            F.date_format("updated", "yyyy-MM-dd HH:mm:ss.SSS").alias("updated"),
+            text("updated").alias("updated"),
             F.struct(F.col("product_id").alias("id")).alias("product"),
             F.array(
                 field(S.CHARACTERISTIC_MFG_DATE, F.col("mfg_date")),
@@ -411,7 +411,7 @@ class SampleLedger:
         )
         body = F.struct(
             text("event_id").alias("id"),
-            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("moment"),
+            text("ts").alias("moment"),
             F.array(entry(F.lit("update")), entry(kind)).alias("events"),
         )
         return self.table("events").select(F.to_json(body).alias("raw_json"))
