@@ -539,7 +539,9 @@ UNION ALL SELECT 'accepted.doc_type', CAST(SUM(n) AS BIGINT) FROM
 def dq_generic(sample):
     operations = cut(sample.operations_with_balance(), "operations")
     columns = ["agent_id", "store_id", "item_id", "expected_bin_qty"]
-    missing = quality.column_violations("operations", operations, columns)
+    missing = quality.null_counts(operations, columns).withColumn(
+        "check_name", F.concat(F.lit("not_null.operations."), "check_name")
+    )
     others = quality.violations(
         {
             "unique.id": quality.unique(operations, "id"),
