@@ -46,11 +46,11 @@ def unify_operations(documents: list[DataFrame], order: list[str] | None = None)
     return numbered.withColumn("slot_id", F.coalesce("slot_id", F.lit(S.OFF_SLOT)))
 
 
-def latest_status(deleted: DataFrame, restored: DataFrame) -> DataFrame:
+def last_events(deleted: DataFrame, restored: DataFrame) -> DataFrame:
     """The last audit event per document and the status it leaves.
 
     An event without a time counts as the last one. At equal times a restored
-    document stays visible.
+    document stays visible. Maxima combine before the shuffle.
     """
     events = deleted.unionByName(restored)
     rank = F.struct(
@@ -66,7 +66,12 @@ def latest_status(deleted: DataFrame, restored: DataFrame) -> DataFrame:
     status = F.when(F.col("event_type") == S.EVENT_DELETED, S.STATUS_DELETED).when(
         F.col("event_type") == S.EVENT_RESTORED, S.STATUS_ACTIVE
     )
-    return with_global_ids(last, nulls_last(["doc_id"])).withColumn("status", status)
+    return last.withColumn("status", status)
+
+
+def latest_status(deleted: DataFrame, restored: DataFrame) -> DataFrame:
+    """``last_events`` as a stored table has them: numbered by document."""
+    return with_global_ids(last_events(deleted, restored), nulls_last(["doc_id"]))
 
 
 def items(variants: DataFrame, products: DataFrame, uoms: DataFrame, agents: DataFrame) -> DataFrame:
@@ -109,13 +114,19 @@ def items(variants: DataFrame, products: DataFrame, uoms: DataFrame, agents: Dat
     return with_global_ids(both, nulls_last(["item_id", "updated", "name"]))
 
 
-def slots(slot_directory: DataFrame, zones: DataFrame) -> DataFrame:
+def named_slots(slot_directory: DataFrame, zones: DataFrame) -> DataFrame:
     """Slot directory with zone names."""
-    named = slot_directory.select("slot_id", "zone_id", F.col("name").alias("slot_name")).join(
-        zones.select("zone_id", F.col("name").alias("zone_name")), "zone_id", "left"
+    return (
+        slot_directory.select("slot_id", "zone_id", F.col("name").alias("slot_name"))
+        .join(zones.select("zone_id", F.col("name").alias("zone_name")), "zone_id", "left")
+        .select("slot_id", "slot_name", "zone_name")
     )
-    numbered = with_global_ids(named, nulls_last(["slot_id", "slot_name", "zone_name"]))
-    return numbered.select("id", "slot_id", "slot_name", "zone_name")
+
+
+def slots(slot_directory: DataFrame, zones: DataFrame) -> DataFrame:
+    """``named_slots`` as a stored table has them: numbered by slot."""
+    named = named_slots(slot_directory, zones)
+    return with_global_ids(named, nulls_last(["slot_id", "slot_name", "zone_name"]))
 
 
 def filter_operations(ledger: DataFrame, items: DataFrame, audit: DataFrame) -> DataFrame:

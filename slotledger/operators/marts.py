@@ -12,7 +12,7 @@ from slotledger.functions import nulls_last
 from slotledger.operators.billing import slots_used_monthly
 from slotledger.operators.spine import Day, item_totals
 
-# Mart columns and the order readers get the rows in.
+# Mart columns.
 OPERATIONS_COLUMNS = [
     "id", "agent_name", "depositor_name", "item_name", "store_name", "slot_name", "doc_name",
     "moment_day", "doc_type", "op_type", "open_slot_balance", "quantity", "close_slot_balance",
@@ -43,6 +43,7 @@ BALANCE_ERROR_COLUMNS = [
     "slot_item_daily_spine_id", "store_name", "slot_balance_errors", "moment_day", "slot_name",
     "item_name", "close_slot_balance", "expected_bin_qty",
 ]
+# The order readers get the rows in.
 READING_ORDER = {
     "operations": [
         "agent_name", "depositor_name", "item_name", "store_name", "slot_name", "moment",
@@ -55,11 +56,19 @@ READING_ORDER = {
     "balance_errors": ["slot_balance_errors", "slot_name"],
     "slots_used_monthly": ["depositor_name", "moment_month"],
 }
+# Tie-breaks after them. Rows that tie all land in one sort task, however many they are.
+TIE_BREAK = {
+    "operations": ["id"],
+    "balance_daily": ["id"],
+    "operation_errors": ["id_operations_with_balance__slot_item"],
+    "balance_errors": ["slot_item_daily_spine_id"],
+    "partner_movements": ["doc_name", "doc_type", "open_balance", "quantity"],
+}
 
 
 def ordered(mart: DataFrame, name: str) -> DataFrame:
     """The mart's rows in its reading order, NULLs last."""
-    return mart.orderBy(*nulls_last(READING_ORDER[name]))
+    return mart.orderBy(*nulls_last(READING_ORDER[name] + TIE_BREAK.get(name, [])))
 
 
 def operations_mart(operations: DataFrame) -> DataFrame:
@@ -177,10 +186,8 @@ def balance_errors(spine: DataFrame) -> DataFrame:
         .withColumnRenamed("id", "slot_item_daily_spine_id")
         .select(*BALANCE_ERROR_COLUMNS)
     )
-    last = errors.agg(F.max("moment_day").alias("_last_day"))  # one row
-    return errors.join(F.broadcast(last), F.col("moment_day") == F.col("_last_day")).select(
-        *BALANCE_ERROR_COLUMNS
-    )
+    last_day = errors.agg(F.max("moment_day")).scalar()
+    return errors.filter(F.col("moment_day") == last_day)
 
 
 __all__ = [

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +14,7 @@ from slotledger.operators.bronze import time_literal
 from slotledger.plans.oracle import on_both, on_ledger, on_operations, on_spine
 from slotledger.plans.pipeline import Warehouse
 from slotledger.plans.sample_ledger import AS_OF, SampleLedger, text
-from slotledger.session import cut, shared_folder
+from slotledger.session import cut, scratch_path
 from slotledger.sources.raw import read_landing, tag
 from slotledger.streaming import ingest_stream
 
@@ -42,15 +41,19 @@ def query(sql: str | None = None):
 
 
 def _daily(sample: SampleLedger) -> DataFrame:
-    return spine.daily_movements(sample.split())
+    return spine.daily_movements(sample.movements())
 
 
-def _spine(sample: SampleLedger) -> DataFrame:
-    return spine.daily_spine(
-        sample.split(), sample.items(), sample.slots(), sample.stores(), AS_OF
+def _tiles(sample: SampleLedger) -> DataFrame:
+    return spine.spine_tiles(
+        sample.movements(), sample.items(), sample.slots(), sample.stores(), AS_OF
     )
 
 
+def _spine(sample: SampleLedger) -> DataFrame:
+    return spine.read_spine(_tiles(sample))
+
+
 # --- the ledger ------------------------------------------------------------
 
 @query(on_ledger("SELECT * FROM operations_all"))
@@ -72,7 +75,7 @@ def move_fan_out(sample):
 
 @query(on_ledger("SELECT * FROM audit_latest"))
 def latest_status(sample):
-    return sample.audit()
+    return ledger.latest_status(*sample.audit_sides())
 
 
 @query("""
@@ -108,7 +111,7 @@ def items_dim(sample):
 @query(on_ledger("""
 SELECT CAST(ROW_NUMBER() OVER (ORDER BY slot_id) AS BIGINT) AS id, * FROM slots_all"""))
 def slots_dim(sample):
-    return sample.slots()
+    return ledger.slots(sample.slot_directory(), sample.zones())
 
 
 @query(on_ledger("SELECT * FROM ops"))
@@ -239,12 +242,12 @@ def slots_used_monthly(sample):
 
 @query(on_operations(f"SELECT {', '.join(marts.OPERATIONS_COLUMNS)} FROM opsb"))
 def mart_operations(sample):
-    return marts.ordered(marts.operations_mart(sample.operations_with_balance()), "operations")
+    return marts.operations_mart(sample.operations_with_balance())
 
 
 @query(on_spine(f"SELECT {', '.join(marts.BALANCE_DAILY_COLUMNS)} FROM spine"))
 def mart_balance_daily(sample):
-    return marts.ordered(marts.balance_daily(_spine(sample)), "balance_daily")
+    return marts.balance_daily(_spine(sample))
 
 
 _NO_SLOTS = on_spine("""
@@ -260,8 +263,7 @@ FROM spine GROUP BY item_id, moment_day""")
 def mart_balance_no_slots(sample):
     daily = _daily(sample)
     intervals = spine.balance_intervals(daily, AS_OF)
-    rows = marts.balance_daily_no_slots_from_intervals(daily, intervals, sample.items(), AS_OF)
-    return marts.ordered(rows, "balance_daily_no_slots")
+    return marts.balance_daily_no_slots_from_intervals(daily, intervals, sample.items(), AS_OF)
 
 
 @query(_NO_SLOTS)
@@ -280,9 +282,7 @@ SELECT depositor_name, depositor_inn, article, item_name, product, lot, mfg_date
        close_total_balance AS close_balance
 FROM opsb WHERE doc_type <> 'move'"""))
 def mart_partner_movements(sample):
-    return marts.ordered(
-        marts.partner_movements(sample.operations_with_balance()), "partner_movements"
-    )
+    return marts.partner_movements(sample.operations_with_balance())
 
 
 @query(on_operations("""
@@ -304,12 +304,7 @@ WHERE slot_balance_errors <> '' AND close_slot_balance <> 0
   AND moment_day = (SELECT MAX(moment_day) FROM spine
                     WHERE slot_balance_errors <> '' AND close_slot_balance <> 0)"""))
 def mart_balance_errors(sample):
-    tiles = cut(
-        spine.spine_tiles(
-            sample.split(), sample.items(), sample.slots(), sample.stores(), AS_OF
-        ),
-        "tiles",
-    )
+    tiles = cut(_tiles(sample), "tiles")  # read twice: for the last day and for its rows
     return marts.ordered(marts.balance_errors(spine.read_spine(tiles)), "balance_errors")
 
 
@@ -352,10 +347,7 @@ UNION ALL SELECT 'unused_rows', COUNT(*) FROM s WHERE is_used = 0"""
 @query(on_spine("SELECT * FROM (WITH s AS (SELECT * FROM spine) " + _SPINE_CHECK_SQL + ") c"))
 def dq_spine_invariants(sample):
     """The checks hold on the real spine: every count is zero."""
-    tiles = spine.spine_tiles(
-        sample.split(), sample.items(), sample.slots(), sample.stores(), AS_OF
-    )
-    return quality.violations(_spine_checks(spine.read_spine(cut(tiles, "tiles"))))
+    return quality.violations(_spine_checks(spine.read_spine(cut(_tiles(sample), "tiles"))))
 
 
 @query(on_spine("""
@@ -370,10 +362,7 @@ SELECT * FROM (WITH s AS (
   FROM spine) """ + _SPINE_CHECK_SQL + ") c"))
 def dq_spine_injected(sample):
     """The same checks on a spine with planted faults."""
-    tiles = spine.spine_tiles(
-        sample.split(), sample.items(), sample.slots(), sample.stores(), AS_OF
-    )
-    rows = spine.read_spine(cut(tiles, "tiles"))
+    rows = spine.read_spine(cut(_tiles(sample), "tiles"))
     day = F.dayofmonth("moment_day")
 
     def swap(when, value, column: str):
@@ -503,7 +492,7 @@ def dq_operations(sample):
             "real_in": quality.operations_real_in_sign(operations),
             "real_out": quality.operations_real_out_sign(operations),
             "real_out_as_in": quality.operations_real_in_sign(swapped),
-            "audit_duplicates": quality.audit_duplicates(sample.audit()),
+            "audit_duplicates": quality.audit_duplicates(ledger.last_events(*sample.audit_sides())),
             "event_duplicates": quality.audit_duplicates(sample.audit_events()),
             "errors_without_tag": quality.errors_without_tag(marts.operation_errors(operations)),
             "rows_without_tag": quality.errors_without_tag(operations),
@@ -797,7 +786,7 @@ def audit_two_level(sample):
     existing = events.filter(f"moment < TIMESTAMP_NTZ '{CUTOVER}'")
     batch = events.filter(f"moment >= TIMESTAMP_NTZ '{CUTOVER}'")
     merged = upsert.merge_by_key(existing, batch, ["doc_id", "event_type", "moment"])
-    status = ledger.latest_status(
+    status = ledger.last_events(
         merged.filter(F.col("event_type") == S.EVENT_DELETED),
         merged.filter(F.col("event_type") == S.EVENT_RESTORED),
     )
@@ -806,10 +795,6 @@ def audit_two_level(sample):
 
 # --- whole runs ------------------------------------------------------------
 
-def _folder(sample: SampleLedger, label: str) -> str:
-    return f"{shared_folder(sample.spark)}/{sample.spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-
-
 @query("SELECT entity, CAST(COUNT(*) AS BIGINT) AS objects FROM (" + """
   SELECT 'product' AS entity FROM part
   UNION ALL SELECT 'counterparty' FROM customer
@@ -820,7 +805,7 @@ def landing_union(sample):
     folders = {}
     for entity, table in kinds.items():
         rows = sample.table(table)
-        folders[entity] = _folder(sample, f"landing-{entity}")
+        folders[entity] = scratch_path(sample.spark, f"landing-{entity}")
         rows.select(F.to_json(F.struct(*rows.columns))).write.text(folders[entity])
     raw = read_landing(sample.spark, folders)
     return raw.groupBy("entity").agg(F.count("raw_json").alias("objects"))
@@ -829,10 +814,10 @@ def landing_union(sample):
 @query(_DOCUMENT_SQL)
 def stream_ingest(sample):
     """The JSON documents arriving as files, taken in by a stream into the typed tables."""
-    landing = _folder(sample, "stream")
+    landing = scratch_path(sample.spark, "stream")
     sample.raw_documents().write.json(landing)
-    warehouse = Warehouse(sample.spark, _folder(sample, "warehouse"), AS_OF)
-    ingest_stream(warehouse, landing, _folder(sample, "state")).awaitTermination()
+    warehouse = Warehouse(sample.spark, scratch_path(sample.spark, "warehouse"), AS_OF)
+    ingest_stream(warehouse, landing, scratch_path(sample.spark, "state")).awaitTermination()
     return _flat(
         ledger.union_documents([warehouse.table("bronze", k) for k in S.DOCUMENT_ENTITIES])
     )

@@ -160,20 +160,27 @@ class SampleLedger:
             F.col("ts").alias("moment"),
         )
 
-    def audit(self) -> DataFrame:
+    def audit_sides(self) -> list[DataFrame]:
         events = self.audit_events()
-        return L.latest_status(
-            events.filter(F.col("event_type") == S.EVENT_DELETED),
-            events.filter(F.col("event_type") == S.EVENT_RESTORED),
-        )
+        return [
+            events.filter(F.col("event_type") == kind)
+            for kind in (S.EVENT_DELETED, S.EVENT_RESTORED)
+        ]
 
     def operations(self, ledger: DataFrame | None = None) -> DataFrame:
         everything = self.operations_all() if ledger is None else ledger
-        return L.filter_operations(everything, self.items(), self.audit())
+        return L.filter_operations(everything, self.items(), L.last_events(*self.audit_sides()))
 
     def split(self) -> DataFrame:
         return L.split_movements(self.operations())
 
+    def movements(self) -> DataFrame:
+        """As ``split``, without row numbers: what daily figures are made of."""
+        slotted = self.legs(self.base()).withColumn(
+            "slot_id", F.coalesce("slot_id", F.lit(S.OFF_SLOT))
+        )
+        return L.split_movements(self.operations(slotted))
+
     def slot_directory(self) -> DataFrame:
         return self.table("supplier").select(
             text("s_suppkey").alias("slot_id"),
@@ -188,7 +195,7 @@ class SampleLedger:
         )
 
     def slots(self) -> DataFrame:
-        return L.slots(self.slot_directory(), self.zones())
+        return L.named_slots(self.slot_directory(), self.zones())
 
     def agents(self) -> DataFrame:
         return self.table("customer").select(

@@ -45,16 +45,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="slotledger-"))
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; what is there goes when the application ends."""
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and go on from the files.
 
     Everything that follows reads the same rows, however often and on whichever
-    executors it runs, with column pruning and known sizes. The folder goes when
-    the application ends.
+    executors it runs, with column pruning and known sizes.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
