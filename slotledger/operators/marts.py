@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from slotledger.functions import nulls_last
 from slotledger.operators.billing import slots_used_monthly
-from slotledger.operators.spine import Day, item_totals
+from slotledger.operators.spine import Day, item_totals, last_anomalous_day, read_spine
 
 # Mart columns.
 OPERATIONS_COLUMNS = [
@@ -190,8 +190,16 @@ def balance_errors(spine: DataFrame) -> DataFrame:
     return errors.filter(F.col("moment_day") == last_day)
 
 
+def balance_errors_from_tiles(tiles: DataFrame) -> DataFrame:
+    """The same from stored tiles: only the day in question is unfolded."""
+    last_day = tiles.agg(F.max(last_anomalous_day())).first()[0]
+    if last_day is None:
+        return balance_errors(read_spine(tiles.limit(0)))
+    return balance_errors(read_spine(tiles, last_day, last_day))
+
+
 __all__ = [
     "balance_daily", "balance_daily_no_slots", "balance_daily_no_slots_from_intervals",
-    "balance_errors", "operation_errors", "operations_mart", "ordered", "partner_movements",
+    "balance_errors", "balance_errors_from_tiles", "operation_errors", "operations_mart", "ordered", "partner_movements",
     "slots_used_monthly",
 ]

@@ -30,7 +30,7 @@ def heavy_groups(df: DataFrame, keys: list[str], hot_rows: int | None) -> DataFr
     if hot_rows is None:
         return None
     heavy = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
-    heavy = heavy.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    heavy = heavy.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_rows")
     if heavy.isEmpty():
         return None
     return cut(heavy, "heavy-groups")
@@ -45,8 +45,16 @@ def _apart(df: DataFrame, heavy: DataFrame, keys: list[str]) -> tuple[DataFrame,
     return df.join(heavy, same, "left_anti"), df.join(heavy, same, "left_semi")
 
 
-def _chunks(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    spread = df.repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys], *order)
+def _chunk_count(heavy: DataFrame, hot_rows: int) -> int:
+    """Enough chunks that one holds about ``hot_rows`` rows at most."""
+    rows = heavy.agg(F.sum("_rows")).first()[0]
+    usual = int(heavy.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, -(-rows // hot_rows))
+
+
+def _chunks(df: DataFrame, count: int, keys: list[str], order: list[Column]) -> DataFrame:
+    grouped = [F.col(k).asc_nulls_last() for k in keys]
+    spread = df.repartitionByRange(count, *grouped, *order)
     return cut(spread.withColumn("_chunk", F.spark_partition_id()), "chunks")
 
 
@@ -79,9 +87,15 @@ def _window_sums(
 
 
 def _chunked_sums(
-    df: DataFrame, keys: list[str], order: list[Column], amount: Column, opening: str, closing: str
+    df: DataFrame,
+    count: int,
+    keys: list[str],
+    order: list[Column],
+    amount: Column,
+    opening: str,
+    closing: str,
 ) -> DataFrame:
-    chunked = _chunks(df.withColumn("_amount", amount), keys, order)
+    chunked = _chunks(df.withColumn("_amount", amount), count, keys, order)
     totals = chunked.groupBy("_chunk", *keys).agg(F.sum("_amount").alias("_total"))
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.withColumn("_carry", F.sum("_total").over(earlier)).filter(
@@ -115,7 +129,8 @@ def running_sums(
         return _window_sums(df, keys, order, amount, opening, closing)
     rest, hot = _apart(df, heavy, keys)
     plain = _window_sums(rest, keys, order, amount, opening, closing)
-    chunked = _chunked_sums(hot, keys, order, amount, opening, closing)
+    count = _chunk_count(heavy, hot_rows)
+    chunked = _chunked_sums(hot, count, keys, order, amount, opening, closing)
     kinds = {f.name: f.dataType for f in plain.schema.fields}
     return plain.unionByName(chunked.select(*[F.col(c).cast(t) for c, t in kinds.items()]))
 
@@ -137,7 +152,7 @@ def previous_value(
     if heavy is None:
         return lagged(df, keys)
     rest, hot = _apart(df, heavy, keys)
-    chunked = _chunks(hot, keys, order)
+    chunked = _chunks(hot, _chunk_count(heavy, hot_rows), keys, order)
     in_chunk = Window.partitionBy("_chunk", *keys).orderBy(*order)
     marked = lagged(chunked, ["_chunk", *keys]).withColumn("_row", F.row_number().over(in_chunk))
     last = marked.groupBy("_chunk", *keys).agg(F.max_by(value, "_row").alias("_last"))

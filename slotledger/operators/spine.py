@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from slotledger import schemas as S
 from slotledger.functions import as_day, balance_tags, nulls_last, occupancy
 from slotledger.operators.ids import with_global_starts
+from slotledger.session import cut
 
 Day = dt.date | str | Column | None
 
@@ -83,7 +84,10 @@ def item_totals(daily: DataFrame, as_of: Day = None) -> DataFrame:
 
 
 def daily_balances_dense(daily: DataFrame, as_of: Day = None) -> DataFrame:
-    """Balances on the whole grid, unused days included."""
+    """Balances on the whole grid, unused days included.
+
+    ``daily`` is read more than once and best comes from a stored table.
+    """
     grid = date_spine(daily, as_of).join(daily, [*S.GRAIN, "moment_day"], "left")
     by_slot = grid.select(
         *S.GRAIN,
@@ -244,8 +248,12 @@ def unfold(tiles: DataFrame) -> DataFrame:
 
 
 def daily_balances(daily: DataFrame, as_of: Day = None) -> DataFrame:
-    """Balances, occupancy and items per slot on every day a slot is used."""
-    return unfold(month_tiles(daily, balance_intervals(daily, as_of), as_of))
+    """Balances, occupancy and items per slot on every day a slot is used.
+
+    ``daily`` is read more than once and best comes from a stored table.
+    """
+    intervals = cut(balance_intervals(daily, as_of), "intervals")
+    return unfold(month_tiles(daily, intervals, as_of))
 
 
 def enrich_tiles(
@@ -279,7 +287,7 @@ def spine_tiles(
 
     This is the form worth storing; ``read_spine`` unfolds it.
     """
-    daily = daily_movements(operations)
+    daily = cut(daily_movements(operations), "daily")  # for balances and for item totals
     intervals = number_intervals(balance_intervals(daily, as_of))
     return enrich_tiles(month_tiles(daily, intervals, as_of), items, slots, stores)
 
@@ -302,6 +310,22 @@ def read_spine(tiles: DataFrame, first_day: Day = None, last_day: Day = None) ->
     return rows.withColumn("slot_balance_errors", tags).select(*SPINE_COLUMNS)
 
 
+def last_anomalous_day() -> Column:
+    """The last day of a tile with stock and a balance anomaly; NULL without one.
+
+    An unexpected balance lasts as long as its tile; a mixed slot is looked up in
+    the month's counts.
+    """
+    close = F.col("close_slot_balance")
+    mixed = F.filter(
+        F.sequence(F.dayofmonth("from_day"), F.dayofmonth("to_day")),
+        lambda day: F.get("_counts", day - 1) > 1,
+    )
+    return F.when((close > 0) & (close != F.col("expected_bin_qty")), F.col("to_day")).when(
+        (close != 0) & F.col("_counts").isNotNull(), F.date_add("month", F.array_max(mixed) - 1)
+    )
+
+
 def daily_spine(
     operations: DataFrame,
     items: DataFrame,

@@ -44,6 +44,11 @@ def _daily(sample: SampleLedger) -> DataFrame:
     return spine.daily_movements(sample.movements())
 
 
+def _stored_daily(sample: SampleLedger) -> DataFrame:
+    """For queries that read the daily movements more than once."""
+    return cut(_daily(sample), "daily")
+
+
 def _tiles(sample: SampleLedger) -> DataFrame:
     return spine.spine_tiles(
         sample.movements(), sample.items(), sample.slots(), sample.stores(), AS_OF
@@ -165,19 +170,19 @@ def date_spine(sample):
 
 @query(on_spine("SELECT * FROM dense"))
 def daily_balances_dense(sample):
-    return spine.daily_balances_dense(_daily(sample), AS_OF)
+    return spine.daily_balances_dense(_stored_daily(sample), AS_OF)
 
 
 @query(on_spine("SELECT * FROM counted WHERE is_used > 0"))
 def daily_balances_interval(sample):
-    return spine.daily_balances(_daily(sample), AS_OF)
+    return spine.daily_balances(_stored_daily(sample), AS_OF)
 
 
 @query(on_spine("""
 SELECT store_id, slot_id, item_id, moment_day, close_slot_balance, real_out, is_used
 FROM counted"""))
 def occupancy_flag(sample):
-    dense = spine.daily_balances_dense(_daily(sample), AS_OF)
+    dense = spine.daily_balances_dense(_stored_daily(sample), AS_OF)
     return dense.select(
         *S.GRAIN, "moment_day", "close_slot_balance", "real_out",
         occupancy(F.col("close_slot_balance"), F.col("real_out")).alias("is_used"),
@@ -261,8 +266,8 @@ FROM spine GROUP BY item_id, moment_day""")
 
 @query(_NO_SLOTS)
 def mart_balance_no_slots(sample):
-    daily = _daily(sample)
-    intervals = spine.balance_intervals(daily, AS_OF)
+    daily = _stored_daily(sample)
+    intervals = cut(spine.balance_intervals(daily, AS_OF), "intervals")
     return marts.balance_daily_no_slots_from_intervals(daily, intervals, sample.items(), AS_OF)
 
 
@@ -305,49 +310,34 @@ WHERE slot_balance_errors <> '' AND close_slot_balance <> 0
                     WHERE slot_balance_errors <> '' AND close_slot_balance <> 0)"""))
 def mart_balance_errors(sample):
     tiles = cut(_tiles(sample), "tiles")  # read twice: for the last day and for its rows
-    return marts.ordered(marts.balance_errors(spine.read_spine(tiles)), "balance_errors")
+    return marts.ordered(marts.balance_errors_from_tiles(tiles), "balance_errors")
 
 
 # --- data quality ----------------------------------------------------------
 
-def _spine_checks(rows: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "arithmetic": quality.spine_arithmetic(rows),
-        "flag_domain": quality.spine_flag_domain(rows),
-        "move_signs": quality.spine_move_signs(rows),
-        "negative_flag": quality.spine_negative_flag(rows),
-        "duplicate_grain": quality.spine_duplicate_grain(rows),
-        "future_days": quality.spine_future_days(rows, AS_OF),
-        "day_continuity": quality.spine_day_continuity(rows),
-        "parts_sum": quality.spine_parts_sum(rows),
-        "total_per_day": quality.spine_total_per_day(rows),
-        "unused_rows": quality.spine_unused_rows(rows),
-    }
-
-
 _SPINE_CHECK_SQL = """
-SELECT 'arithmetic' AS check_name, COUNT(*) AS violations FROM s
+SELECT 'spine_arithmetic' AS check_name, COUNT(*) AS violations FROM s
   WHERE close_slot_balance <> open_slot_balance + quantity
-UNION ALL SELECT 'flag_domain', COUNT(*) FROM s WHERE is_used NOT IN (1, 2)
-UNION ALL SELECT 'move_signs', COUNT(*) FROM s WHERE move_in < 0 OR move_out > 0
-UNION ALL SELECT 'negative_flag', COUNT(*) FROM s WHERE close_slot_balance < 0 AND is_used <> 2
-UNION ALL SELECT 'duplicate_grain', COUNT(*) FROM
+UNION ALL SELECT 'spine_flag_domain', COUNT(*) FROM s WHERE is_used NOT IN (1, 2)
+UNION ALL SELECT 'spine_move_signs', COUNT(*) FROM s WHERE move_in < 0 OR move_out > 0
+UNION ALL SELECT 'spine_negative_flag', COUNT(*) FROM s WHERE close_slot_balance < 0 AND is_used <> 2
+UNION ALL SELECT 'spine_duplicate_grain', COUNT(*) FROM
   (SELECT 1 FROM s GROUP BY store_id, slot_id, item_id, moment_day HAVING COUNT(*) > 1) g
-UNION ALL SELECT 'future_days', COUNT(*) FROM s WHERE moment_day > DATE '2000-12-31'
-UNION ALL SELECT 'day_continuity', COUNT(*) FROM s n JOIN s p
+UNION ALL SELECT 'spine_future_days', COUNT(*) FROM s WHERE moment_day > DATE '2000-12-31'
+UNION ALL SELECT 'spine_day_continuity', COUNT(*) FROM s n JOIN s p
   ON n.store_id = p.store_id AND n.slot_id = p.slot_id AND n.item_id = p.item_id
   AND n.moment_day = p.moment_day + 1 WHERE n.open_slot_balance <> p.close_slot_balance
-UNION ALL SELECT 'parts_sum', COUNT(*) FROM s
+UNION ALL SELECT 'spine_parts_sum', COUNT(*) FROM s
   WHERE quantity <> real_in + real_out + move_in + move_out
-UNION ALL SELECT 'total_per_day', COUNT(*) FROM
+UNION ALL SELECT 'spine_total_per_day', COUNT(*) FROM
   (SELECT 1 FROM s GROUP BY item_id, moment_day HAVING COUNT(DISTINCT close_total_balance) > 1) t
-UNION ALL SELECT 'unused_rows', COUNT(*) FROM s WHERE is_used = 0"""
+UNION ALL SELECT 'spine_unused_rows', COUNT(*) FROM s WHERE is_used = 0"""
 
 
 @query(on_spine("SELECT * FROM (WITH s AS (SELECT * FROM spine) " + _SPINE_CHECK_SQL + ") c"))
 def dq_spine_invariants(sample):
     """The checks hold on the real spine: every count is zero."""
-    return quality.violations(_spine_checks(spine.read_spine(cut(_tiles(sample), "tiles"))))
+    return quality.spine_counts(spine.read_spine(cut(_tiles(sample), "tiles")), AS_OF)
 
 
 @query(on_spine("""
@@ -382,16 +372,16 @@ def dq_spine_injected(sample):
             day == 20, F.col("close_total_balance") + F.col("store_id"), "close_total_balance"
         ).alias("close_total_balance"),
     )
-    return quality.violations(_spine_checks(faulty))
+    return quality.spine_counts(faulty, AS_OF)
 
 
 @query(on_both("""
 , o AS (SELECT store_id, slot_id, item_id, moment_day, SUM(quantity) AS q,
                SUM(real_in) AS i, SUM(real_out) AS r FROM opsb GROUP BY ALL)
-SELECT 'quantity' AS check_name, COUNT(*) AS violations
+SELECT 'spine_quantity_reconciles' AS check_name, COUNT(*) AS violations
   FROM spine s JOIN o USING (store_id, slot_id, item_id, moment_day)
   WHERE s.quantity <> o.q
-UNION ALL SELECT 'real', COUNT(*)
+UNION ALL SELECT 'spine_real_reconciles', COUNT(*)
   FROM spine s JOIN o USING (store_id, slot_id, item_id, moment_day)
   WHERE s.real_in <> o.i OR s.real_out <> o.r
 UNION ALL SELECT 'filtered_within_all', CAST(
@@ -420,10 +410,11 @@ def dq_reconcile_layers(sample):
     )
     rows = spine.read_spine(cut(tiles, "tiles"))
     real = operations.filter("doc_type != 'move'")
-    return quality.violations(
+    joined = quality.rule_counts(
+        quality.spine_with_operations(rows, operations), quality.RECONCILIATION_RULES
+    )
+    others = quality.violations(
         {
-            "quantity": quality.spine_quantity_reconciles(rows, operations),
-            "real": quality.spine_real_reconciles(rows, operations),
             "filtered_within_all": quality.filtered_within_all(filtered, everything),
             "shipments_only": quality.spine_quantity_reconciles(rows, real),
             "partners_match": quality.partners_match_operations(
@@ -438,6 +429,7 @@ def dq_reconcile_layers(sample):
             ),
         }
     )
+    return joined.unionAll(others)
 
 
 @query(on_ledger("""
@@ -595,7 +587,7 @@ def _flat(documents: DataFrame) -> DataFrame:
 @query(_DOCUMENT_SQL)
 def json_explode_documents(sample):
     """All line items packed into JSON documents and parsed back by kind."""
-    raw = cut(sample.raw_documents(), "raw")
+    raw = cut(sample.raw_documents(), "raw", by="entity")
     return _flat(ledger.union_documents([parse(raw) for parse in _DOCUMENT_PARSERS]))
 
 

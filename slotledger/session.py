@@ -53,12 +53,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
+def cut(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and go on from the files.
 
     Everything that follows reads the same rows, however often and on whichever
-    executors it runs, with column pruning and known sizes.
+    executors it runs, with column pruning and known sizes. ``by`` names a column
+    of few values that later reads filter on.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*([by] if by else [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

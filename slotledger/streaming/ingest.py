@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from slotledger import schemas as S
 from slotledger.operators import bronze
 from slotledger.operators.upsert import merge_by_key, replace_by_document
-from slotledger.plans.pipeline import Warehouse
+from slotledger.plans.pipeline import Warehouse, each_table
 from slotledger.session import cut
 
 _BATCH = re.compile(r"batch(\d+)$")
@@ -37,29 +37,31 @@ def _latest(rows: DataFrame, keys: list[str], changed: str) -> DataFrame:
 def take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
     """Merge or replace the rows of one micro-batch; safe to repeat."""
     store = warehouse.store
-    raw = cut(raw, f"stream-{batch_id}")
-    for name, (parse, keys, how, changed) in bronze.TABLES.items():
+    raw = cut(raw, f"stream-{batch_id}", by="entity")
+    tag = f"batch{batch_id}"
+
+    def load(name: str) -> None:
         if _last_batch(warehouse, name) >= batch_id:
-            continue
-        rows = parse(raw, None)
-        if how == "replace":
-            rows = _latest(rows, keys, changed)
-        else:
-            rows = _latest(rows, keys, changed).dropDuplicates(keys)
-        tag = f"batch{batch_id}"
+            return
+        parse, keys, how, changed = bronze.TABLES[name]
+        rows = _latest(parse(raw, None), keys, changed)
+        if how == "merge":
+            rows = rows.dropDuplicates(keys)
         if not store.exists("bronze", name):
             store.write(rows, "bronze", name, tag)
-            continue
+            return
         batch = cut(rows, f"batch-{name}")
         if batch.isEmpty():
-            continue
-        combine = replace_by_document if how == "replace" else merge_by_key
+            return
         existing = store.read("bronze", name)
-        merged = (
-            combine(existing, batch) if how == "replace" else combine(existing, batch, keys)
-        )
+        if how == "merge":
+            merged = merge_by_key(existing, batch, keys)
+        else:
+            merged = replace_by_document(existing, batch)
         store.write(merged, "bronze", name, tag)
 
+    each_table(load)
+
 
 def ingest_stream(warehouse: Warehouse, folder: str, checkpoint: str, form: str = "json"):
     """Take in all files that have landed since the last call, then stop.

@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from slotledger import schemas as S
 from slotledger.operators import billing, ledger, marts, spine
@@ -167,12 +168,31 @@ def test_two_items_in_a_slot_and_stock_without_a_slot(spark, rows):
 def test_anomalies_of_the_last_anomalous_day(spark, rows):
     ops = [op(1, 3, 1), op(2, 4, 1)]  # expected 2: wrong on day 3 only
     items, slots, stores = directories(spark, ops)
-    got = spine.daily_spine(
+    tiles = spine.spine_tiles(
         ledger.split_movements(ops_frame(spark, ops)), items, slots, stores, dt.date(2024, 3, 5)
     )
-    assert rows(marts.balance_errors(got), "moment_day", "close_slot_balance") == [
-        (dt.date(2024, 3, 3), Decimal(1))
-    ]
+    for errors in (
+        marts.balance_errors(spine.read_spine(tiles)), marts.balance_errors_from_tiles(tiles),
+    ):
+        assert rows(errors, "moment_day", "close_slot_balance") == [
+            (dt.date(2024, 3, 3), Decimal(1))
+        ]
+    clean = tiles.filter("close_slot_balance = 2")
+    assert marts.balance_errors_from_tiles(clean).isEmpty()
+
+
+def test_last_anomalous_day_of_each_tile(spark, case):
+    ops, _, _ = case
+    split = ledger.split_movements(ops_frame(spark, ops))
+    tiles = spine.spine_tiles(split, *directories(spark, ops), AS_OF).cache()
+    key = ["store_id", "slot_id", "item_id", "month"]
+    got = tiles.groupBy(*key).agg(F.max(spine.last_anomalous_day()).alias("last")).dropna()
+    rows = spine.read_spine(tiles).filter("slot_balance_errors != '' AND close_slot_balance != 0")
+    want = rows.groupBy(
+        "store_id", "slot_id", "item_id", F.trunc("moment_day", "MM").alias("month")
+    ).agg(F.max("moment_day").alias("last"))
+    assert got.count() > 50
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
 def test_monthly_places_of_two_depositors_with_one_name(spark, rows):
