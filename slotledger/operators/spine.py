@@ -295,12 +295,14 @@ def spine_tiles(
 def read_spine(tiles: DataFrame, first_day: Day = None, last_day: Day = None) -> DataFrame:
     """Daily rows of stored tiles, optionally of some days only.
 
-    The day bounds also skip whole tiles, before any of them unfolds.
+    The day bounds also skip whole months and tiles, before any of them unfolds.
     """
     if first_day is not None:
+        tiles = tiles.filter(F.col("month") >= F.trunc(as_day(first_day), "MM"))
         tiles = tiles.filter(F.col("to_day") >= as_day(first_day))
         tiles = tiles.withColumn("from_day", F.greatest("from_day", as_day(first_day)))
     if last_day is not None:
+        tiles = tiles.filter(F.col("month") <= as_day(last_day))
         tiles = tiles.filter(F.col("from_day") <= as_day(last_day))
         tiles = tiles.withColumn("to_day", F.least("to_day", as_day(last_day)))
     rows = unfold(tiles)

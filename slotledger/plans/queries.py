@@ -237,10 +237,13 @@ def slots_used_daily_from_spine(sample):
     return billing.slots_used_daily_from_spine(_spine(sample))
 
 
-@query(on_spine("""
+_MONTHLY = on_spine("""
 SELECT MAX(depositor_name) AS depositor_name, strftime(moment_day, '%Y-%m') AS moment_month,
        CAST(SUM(slots_used_day) AS BIGINT) AS slots_used_month
-FROM used_daily GROUP BY depositor_id, strftime(moment_day, '%Y-%m')"""))
+FROM used_daily GROUP BY depositor_id, strftime(moment_day, '%Y-%m')""")
+
+
+@query(_MONTHLY)
 def slots_used_monthly(sample):
     return marts.ordered(billing.slots_used_monthly(_used(sample)), "slots_used_monthly")
 
@@ -813,3 +816,21 @@ def stream_ingest(sample):
     return _flat(
         ledger.union_documents([warehouse.table("bronze", k) for k in S.DOCUMENT_ENTITIES])
     )
+
+
+@query(_MONTHLY)
+def daily_runs(sample):
+    """Two daily runs from JSON to billing: all documents first, then the audit events.
+
+    The first run ignores the audit, the second takes it in and bills without
+    the documents deleted since.
+    """
+    warehouse = Warehouse(sample.spark, scratch_path(sample.spark, "warehouse"), AS_OF)
+    warehouse.land(sample.raw_ledger())
+    warehouse.build_bronze()
+    warehouse.build_ledger()
+    warehouse.land(sample.raw_audit())
+    warehouse.build_bronze()
+    warehouse.build_silver()
+    warehouse.build_gold()
+    return warehouse.table("gold", "focus_slots_used_monthly")

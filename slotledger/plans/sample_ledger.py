@@ -422,3 +422,106 @@ class SampleLedger:
             F.array(entry(F.lit("update")), entry(kind)).alias("events"),
         )
         return self.table("events").select(F.to_json(body).alias("raw_json"))
+
+    def raw_ledger(self) -> DataFrame:
+        """What ``base`` maps, as a source would send it: documents, directories, brands."""
+        lines = self.base()
+        order = ["doc_id", "doc_type", "moment", "number", "l_partkey", "l_suppkey",
+                 "l_extendedprice", "l_quantity", "l_tax"]
+        numbered = with_global_ids(lines, [F.col(c).asc_nulls_last() for c in order])
+        moved = F.col("doc_type") == "move"
+
+        def ref(value: Column) -> Column:
+            return F.struct(text(value).alias("id"))
+
+        position = F.struct(
+            "id",
+            F.col("l_quantity").alias("quantity"),
+            ref(F.col("item_id")).alias("assortment"),
+            F.when(~moved & (F.col("l_tax") != 0), ref(F.col("l_suppkey"))).alias("slot"),
+            F.when(moved, ref(F.col("l_suppkey"))).alias("sourceSlot"),
+            F.when(moved, ref(F.col("l_suppkey") + 3)).alias("targetSlot"),
+        )
+        header = [
+            "doc_id", "doc_type", "moment", "applicable", "o_custkey", "store_id",
+            F.floor(F.col("id") / POSITIONS_PER_PAGE).alias("page"),
+        ]
+        store = ref(F.col("store_id"))
+        body = F.struct(
+            text("doc_id").alias("id"),
+            text("doc_id").alias("name"),
+            text("moment").alias("moment"),
+            text("moment").alias("updated"),
+            "applicable",
+            F.when(~moved, ref(F.col("o_custkey"))).alias("agent"),
+            F.when(~moved, store).alias("store"),
+            F.when(moved, store).alias("sourceStore"),
+            F.when(moved, store).alias("targetStore"),
+            F.struct("rows").alias("positions"),
+        )
+        documents = (
+            numbered.groupBy(*header)
+            .agg(F.array_sort(F.collect_list(position)).alias("rows"))
+            .select(F.col("doc_type").alias("entity"), F.to_json(body).alias("raw_json"))
+        )
+        changed = F.lit("2000-01-01 00:00:00").alias("updated")
+        owners = self.items().select("depositor_id", "depositor_name", "depositor_inn").distinct()
+        agents = owners.select(
+            F.concat(F.lit("owner"), text("depositor_id")).alias("id"),
+            F.col("depositor_name").alias("name"),
+            F.col("depositor_inn").alias("inn"),
+            changed,
+        )
+        customers = self.agents().select(
+            text("agent_id").alias("id"), "name", "inn", changed
+        )
+
+        def field(name: str, json: Column) -> Column:
+            return F.struct(F.lit(name).alias("name"), F.parse_json(json).alias("value"))
+
+        owner = F.concat(F.lit("owner"), text("depositor_id"))
+        brands = self.items().select(
+            F.col("item_id").alias("id"),
+            "name",
+            "article",
+            F.struct(F.lit("pcs").alias("id")).alias("uom"),
+            F.array_compact(
+                F.array(
+                    field(S.ATTRIBUTE_DEPOSITOR, F.to_json(F.struct(owner.alias("id")))),
+                    F.when(
+                        F.col("expected_bin_qty").isNotNull(),
+                        field(S.ATTRIBUTE_BIN_QTY, text("expected_bin_qty")),
+                    ),
+                )
+            ).alias("attributes"),
+            changed,
+        )
+        units = self.table("region").limit(1).select(
+            F.lit("pcs").alias("id"), F.lit("pcs").alias("name"), changed
+        )
+
+        def objects(entity: str, rows: DataFrame) -> DataFrame:
+            return rows.select(
+                F.lit(entity).alias("entity"), F.to_json(F.struct(*rows.columns)).alias("raw_json")
+            )
+
+        # A store is sent in pages here, so its own row comes from the one with its zones.
+        return (
+            documents.unionByName(objects("counterparty", agents.unionByName(customers)))
+            .unionByName(objects("product", brands))
+            .unionByName(objects("uom", units))
+            .unionByName(self.raw_stores())
+        )
+
+    def raw_audit(self) -> DataFrame:
+        """The audit events as a source would send them."""
+        rows = self.audit_events()
+        body = F.struct(
+            text("doc_id").alias("doc_id"), "entity_type", "event_type", "name",
+            text("moment").alias("moment"),
+        )
+        deleted = F.col("event_type") == S.EVENT_DELETED
+        return rows.select(
+            F.when(deleted, "audit_deleted").otherwise("audit_restored").alias("entity"),
+            F.to_json(body).alias("raw_json"),
+        )

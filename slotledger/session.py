@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",  # bad text must fail a cast
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split hot join keys even where a later step needs one more exchange for it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Directories and batches of changed keys up to this size spare the ledger a shuffle.
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    # A small partition of tiles unfolds into many days: keep all cores busy with them.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 _local_folders: dict[str, str] = {}
@@ -61,5 +66,8 @@ def cut(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     of few values that later reads filter on.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.partitionBy(*([by] if by else [])).parquet(path)
+    if by:
+        df.hint("rebalance", by).write.partitionBy(by).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

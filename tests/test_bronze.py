@@ -6,6 +6,7 @@ import pytest
 
 from slotledger import schemas as S
 from slotledger.operators import bronze
+from slotledger.sources.raw import land_audit
 
 TIME = "2024-01-02 03:04:05.678"
 MOMENT = dt.datetime(2024, 1, 2, 3, 4, 5, 678000)
@@ -192,6 +193,10 @@ def test_audit_contexts_to_events(spark, rows):
         (None, "demand", "restorefromrecyclebin", TIME, "N"),
         ("d1", "demand", "puttorecyclebin", TIME, "N"),
     ]
+    landed = bronze.audit_deleted(land_audit(contexts, "audit_deleted"))
+    assert rows(landed, "doc_id", "name", "moment") == [
+        (None, None, MOMENT), (None, "N", MOMENT), ("d1", "N", MOMENT),
+    ]
     body = {"doc_id": "d1", "entity_type": "demand", "event_type": "puttorecyclebin",
             "name": "N", "moment": TIME}
     df = raw(spark, ("audit_deleted", body), ("audit_restored", body))

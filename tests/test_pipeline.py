@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from slotledger import schemas as S
+from slotledger.__main__ import main
 from slotledger.operators import upsert
 from slotledger.operators.quality import QualityError
 from slotledger.plans.pipeline import Warehouse
@@ -151,6 +152,20 @@ def test_a_key_twice_in_a_batch_is_refused(spark, tmp_path):
         warehouse.load_table(twice, "uoms")
 
 
+def test_command_line_runs_a_day(spark, tmp_path):
+    frame = first_day().frame(spark)
+    entities = ["store", "uom", "product", "variant", "counterparty", "demand", "supply", "move"]
+    for entity in entities:
+        objects = frame.filter(f"entity = '{entity}'").select("raw_json")
+        objects.write.text(str(tmp_path / "in" / entity))
+    main([
+        "--landing", str(tmp_path / "in"), "--root", str(tmp_path / "out"), "--as-of", "2024-01-10",
+        "--entities", *entities,
+    ])
+    billed = TableStore(spark, str(tmp_path / "out")).read("gold", "focus_slots_used_monthly")
+    assert [tuple(r) for r in billed.collect()] == [("Owner", "2024-01", 9)]
+
+
 # --- upserts ---------------------------------------------------------------
 
 def test_merge_updates_adds_and_keeps(spark, rows):
@@ -213,6 +228,21 @@ def test_raw_is_pruned_by_entity(spark, tmp_path):
     assert scan.count() == 1
 
 
+def test_some_days_of_the_spine_read_their_months_only(two_days):
+    warehouse, _, _ = two_days
+    some = warehouse.spine(dt.date(2024, 1, 3), dt.date(2024, 1, 4))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    assert {r["moment_day"].day for r in some.collect()} == {3, 4}
+
+
+def test_an_empty_table_keeps_its_columns(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    empty = spark.range(0).selectExpr("id", "id % 2 AS half")
+    assert store.write(empty, "silver", "t", by="half").columns == ["id", "half"]
+    assert store.read("silver", "t").isEmpty()
+
+
 def test_landed_files_become_one_raw_table(spark, tmp_path, rows):
     frame = first_day().frame(spark)
     for entity in ("uom", "move"):
