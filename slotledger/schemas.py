@@ -74,6 +74,7 @@ DOCUMENT_COLUMNS = [
 ]
 LEDGER_ORDER = [
     "doc_id", "item_id", "op_type", "position", "number", "slot_id", "quantity", "doc_type",
+    "moment", "store_id", "agent_id", "applicable", "updated",
 ]
 
 GRAIN = ["store_id", "slot_id", "item_id"]

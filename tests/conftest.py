@@ -15,6 +15,8 @@ def spark():
         "local[8]",
         {
             "spark.sql.shuffle.partitions": "4",
+            # Small inputs: compiling a stage takes longer than running it.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

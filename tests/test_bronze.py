@@ -195,7 +195,7 @@ def test_audit_contexts_to_events(spark, rows):
     ]
     landed = bronze.audit_deleted(land_audit(contexts, "audit_deleted"))
     assert rows(landed, "doc_id", "name", "moment") == [
-        (None, None, MOMENT), (None, "N", MOMENT), ("d1", "N", MOMENT),
+        (None, "N", MOMENT), (None, None, MOMENT), ("d1", "N", MOMENT),
     ]
     body = {"doc_id": "d1", "entity_type": "demand", "event_type": "puttorecyclebin",
             "name": "N", "moment": TIME}

@@ -5,6 +5,7 @@ import pytest
 from slotledger import schemas as S
 from slotledger.__main__ import main
 from slotledger.operators import upsert
+from slotledger.operators.marts import READING_ORDER
 from slotledger.operators.quality import QualityError
 from slotledger.plans.pipeline import Warehouse
 from slotledger.sources.raw import entity_scan, read_landing, read_raw, tag
@@ -83,6 +84,16 @@ def test_views_read_the_stored_tables(two_days, spark, rows):
     assert rows(by_item, "item_name", "moment_day")[0][0] == "P1 (L1, )"
 
 
+def test_all_marts_can_be_read_in_order(two_days):
+    warehouse, _, _ = two_days
+    for mart in READING_ORDER:
+        got = warehouse.ordered(mart)
+        shown = [tuple(r[c] for c in READING_ORDER[mart]) for r in got.collect()]
+        keys = [[(v is None, v) for v in row] for row in shown]
+        assert shown or mart.endswith("errors")
+        assert all(a <= b for a, b in zip(keys, keys[1:])), mart
+
+
 def test_run_log_and_requests(two_days):
     warehouse, _, _ = two_days
     log = warehouse.store.run_log().orderBy("id").collect()
