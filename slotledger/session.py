@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,7 @@ SETTINGS = {
 }
 
 _local_folders: dict[str, str] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def build_session(
@@ -50,11 +54,38 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="slotledger-"))
 
 
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch of the steps inside once they are done.
+
+    For steps that leave nothing but stored tables: frames built on scratch
+    cannot be read afterwards.
+    """
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            files, target = _hadoop(spark, path)
+            files.delete(target, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder; what is there goes when the application ends."""
+    """A new path in the shared folder; it goes with its scope or else the application."""
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    scope = _scope.get()
+    if scope is None:
+        files, target = _hadoop(spark, path)
+        files.deleteOnExit(target)
+    else:
+        scope.append(path)
     return path
 
 

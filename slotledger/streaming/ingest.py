@@ -17,7 +17,7 @@ from slotledger import schemas as S
 from slotledger.operators import bronze
 from slotledger.operators.upsert import merge_by_key, replace_by_document
 from slotledger.plans.pipeline import Warehouse, each_table
-from slotledger.session import cut
+from slotledger.session import cut, scratch_scope
 
 _BATCH = re.compile(r"batch(\d+)$")
 
@@ -36,6 +36,11 @@ def _latest(rows: DataFrame, keys: list[str], changed: str) -> DataFrame:
 
 def take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
     """Merge or replace the rows of one micro-batch; safe to repeat."""
+    with scratch_scope(warehouse.spark):
+        _take_in(warehouse, raw, batch_id)
+
+
+def _take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
     store = warehouse.store
     raw = cut(raw, f"stream-{batch_id}", by="entity")
     tag = f"batch{batch_id}"

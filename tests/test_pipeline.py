@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import random
 
 import pytest
 
@@ -8,6 +10,7 @@ from slotledger.operators import upsert
 from slotledger.operators.marts import READING_ORDER
 from slotledger.operators.quality import QualityError
 from slotledger.plans.pipeline import Warehouse
+from slotledger.session import shared_folder
 from slotledger.sources.raw import entity_scan, read_landing, read_raw, tag
 from slotledger.sources.tables import TableStore
 from slotledger.streaming import ingest_stream
@@ -177,6 +180,17 @@ def test_command_line_runs_a_day(spark, tmp_path):
     assert [tuple(r) for r in billed.collect()] == [("Owner", "2024-01", 9)]
 
 
+def test_steps_leave_no_scratch(spark, tmp_path):
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    warehouse = Warehouse(spark, str(tmp_path), AS_OF)
+    warehouse.land(first_day().frame(spark))
+    warehouse.build_bronze()
+    warehouse.build_silver()
+    warehouse.build_gold()
+    assert set(os.listdir(folder)) == before
+
+
 # --- upserts ---------------------------------------------------------------
 
 def test_merge_updates_adds_and_keeps(spark, rows):
@@ -195,6 +209,27 @@ def test_documents_are_replaced_as_a_whole(spark, rows):
     assert rows(upsert.replace_by_document(old, new, sent)) == [("a", 9), ("b", 1), ("d", 1)]
 
 
+def test_slices_taken_in_one_by_one_equal_the_last_state(spark, rows):
+    """Random documents, edited over several batches: only their last versions remain."""
+    rng = random.Random(7)
+    state, batches = {}, []
+    for version in range(4):
+        sent = {f"d{rng.randint(0, 40)}" for _ in range(15)}
+        for doc in sent:
+            state[doc] = [(doc, place, version) for place in range(rng.randint(1, 3))]
+        batches.append([row for doc in sorted(sent) for row in state[doc]])
+    shape = "doc_id STRING, place INT, version INT"
+    documents = spark.createDataFrame(batches[0], shape)
+    firsts = documents.filter("place = 0")
+    for batch in batches[1:]:
+        frame = spark.createDataFrame(batch, shape)
+        documents = upsert.replace_by_document(documents, frame)
+        firsts = upsert.merge_by_key(firsts, frame.filter("place = 0"), ["doc_id"])
+    last = sorted(row for rows_ in state.values() for row in rows_)
+    assert sorted(map(tuple, documents.collect())) == last
+    assert sorted(map(tuple, firsts.collect())) == [row for row in last if row[1] == 0]
+
+
 def test_watermarks(spark):
     table = spark.createDataFrame(
         [(dt.datetime(2024, 1, 1, 0, 0, 0, 490000),), (None,)], "updated TIMESTAMP_NTZ"

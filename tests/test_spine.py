@@ -120,6 +120,21 @@ def test_reading_some_days_equals_filtering(spark, case, rows):
     assert rows(some) == rows(whole)
 
 
+def test_the_grid_is_never_shuffled(spark, case):
+    ops, daily, _ = case
+    split = ledger.split_movements(ops_frame(spark, ops))
+    tiles = spine.spine_tiles(split, *directories(spark, ops), AS_OF)
+    plan = spine.read_spine(tiles)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Generate explode(sequence(from_day")]
+    assert "Exchange" not in above and "Join" not in above and "Sort" not in above
+    intervals = spine.balance_intervals(daily, AS_OF)
+    for compact in (
+        intervals, spine.item_totals(daily, AS_OF), spine.month_tiles(daily, intervals, AS_OF),
+        billing.slots_used_daily(intervals, items_frame(spark, ops)),
+    ):
+        assert "SinglePartition" not in compact._jdf.queryExecution().executedPlan().toString()
+
+
 def op(number, day, quantity, kind="supply", **more):
     base = {
         "id": number, "doc_id": f"d{number}", "applicable": True, "number": "1",
