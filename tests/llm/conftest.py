@@ -1,0 +1,18 @@
+import re
+
+import pytest
+
+
+def words(text, pattern=r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"):
+    """The words of the contracts, the plain way."""
+    folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(pattern, folded)
+
+
+def spaced(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+@pytest.fixture(scope="session")
+def sf():
+    return "/root/testdata/sf0.001"
