@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from slotledger.llm import sql
 from slotledger.llm.decontaminate import contamination, is_contaminated
+from slotledger.llm.substrings import without_repeats
 from slotledger.llm.support import table
 
 
@@ -23,10 +24,20 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of repeated windows of 35 words taken out of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op5_decontamination": op5_decontamination,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES = {
     "op5_decontamination": sql.DECONTAMINATION,
+    "op10_substring_dedup": sql.SUBSTRINGS,
 }

@@ -32,3 +32,20 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+SUBSTRINGS = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+win AS (
+  SELECT r, i, md5(list_aggregate(list_slice(w, i, i + 34), 'string_agg', ' ')) AS h
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+again AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM win JOIN again USING (h)),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d)
+  ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
