@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from slotledger.llm import sql
 from slotledger.llm.decontaminate import contamination, is_contaminated
+from slotledger.llm.simhash import near_duplicates
 from slotledger.llm.substrings import without_repeats
 from slotledger.llm.support import table
 
@@ -24,6 +25,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose fingerprints differ in 4 bits at most."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of repeated windows of 35 words taken out of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -34,6 +41,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_decontamination": op5_decontamination,
+    "op8_simhash": op8_simhash,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
