@@ -5,13 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 from slotledger.llm import sql
 from slotledger.llm.decontaminate import contamination, is_contaminated
+from slotledger.llm.packing import pack, tokenized
 from slotledger.llm.simhash import near_duplicates
 from slotledger.llm.substrings import without_repeats
 from slotledger.llm.support import table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents laid into sequences of 4096 tokens."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = pack(tokenized(table(spark, sf_dir, "documents"), "doc_id", path, end_id=2), "doc_id")
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -40,6 +58,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op5_decontamination": op5_decontamination,
     "op8_simhash": op8_simhash,
     "op10_substring_dedup": op10_substring_dedup,
