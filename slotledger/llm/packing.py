@@ -202,8 +202,8 @@ def tokenized(
         end = array.array("I", [end_id]).tobytes()
         for batch in batches:
             texts = batch.column("_text").to_pylist()
-            for at in range(0, len(texts), 256):
-                ids = encode_texts(texts[at : at + 256], path, drops_spaces)
+            at = 0
+            for ids in encode_texts(texts, path, drops_spaces):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("_id").slice(at, len(ids)),
@@ -212,6 +212,7 @@ def tokenized(
                     ],
                     names=["_id", "ids", "loss"],
                 )
+                at += len(ids)
 
     kind = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))

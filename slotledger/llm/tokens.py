@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import array
+from collections.abc import Iterator
+
+import numpy as np
 
 from slotledger.llm.support import once_per_worker
 
-CACHE_WORDS = 400_000  # about 100 MB; a full cache is emptied
+CACHE_WORDS = 400_000  # about 100 MB; once full, new words are kept for one slice only
+SLICE_TEXTS = 512
+_JOINED = 8192  # words encoded as one text
+_MARK = "7"  # a digit is a token of its own where digits are single
 
 
 def load(path: str):
@@ -15,33 +21,45 @@ def load(path: str):
     return once_per_worker(("tokenizer", path), lambda: Tokenizer.from_file(path))
 
 
-class _Words(dict):
-    """Word -> its ids as little-endian unsigned 32-bit bytes."""
+def _encode(tokenizer, texts: list[str]) -> list[list[int]]:
+    return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        packed = self[word] = array.array("I", ids).tobytes()
-        return packed
+def _encode_words(tokenizer, words: list[str]) -> dict[str, bytes]:
+    """Ids of each word. Many words go in one text, with a marking digit between any two;
+    words with that digit, or all if the tokenizer does not keep it apart, go singly."""
+    mark, first, last, three = _encode(tokenizer, [_MARK, "a", "b", f"a {_MARK} b"])
+    kept_apart = len(mark) == 1 and three == [*first, *mark, *last]
+    plain = [w for w in words if _MARK not in w] if kept_apart else []
+    single = list(set(words).difference(plain))
+    out = {w: array.array("I", x).tobytes() for w, x in zip(single, _encode(tokenizer, single))}
+    for at in range(0, len(plain), _JOINED):
+        some = plain[at : at + _JOINED]
+        ids = np.array(_encode(tokenizer, [f" {_MARK} ".join(some)])[0], dtype="<u4")
+        ends = np.flatnonzero(ids == mark[0])
+        packed, starts = ids.tobytes(), np.concatenate([[0], ends + 1])
+        bounds = zip(some, (4 * starts).tolist(), (4 * np.append(ends, len(ids))).tolist())
+        out.update((w, packed[a:b]) for w, a, b in bounds)
+    return out
 
 
-def encode_texts(texts: list[str], path: str, drops_spaces: bool) -> list[bytes]:
-    """Ids of every whole text, as bytes.
+def encode_texts(texts: list[str], path: str, drops_spaces: bool) -> Iterator[list[bytes]]:
+    """Ids of every whole text, as bytes, slice by slice.
 
     ``drops_spaces``: the tokenizer drops white space and never joins what it divides,
     so the words between spaces and line ends are encoded on their own and kept.
     """
     tokenizer = load(path)
-    if not drops_spaces:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array.array("I", x.ids).tobytes() for x in found]
-    words = once_per_worker(("words", path), lambda: _Words(tokenizer))
-    out = []
-    for text in texts:
-        out.append(b"".join(map(words.__getitem__, text.replace("\n", " ").split(" "))))
-        if len(words) > CACHE_WORDS:
-            words.clear()
-    return out
+    known = once_per_worker(("words", path), dict)
+    for at in range(0, len(texts), SLICE_TEXTS):
+        some = texts[at : at + SLICE_TEXTS]
+        if not drops_spaces:
+            yield [array.array("I", ids).tobytes() for ids in _encode(tokenizer, some)]
+            continue
+        split = [text.replace("\n", " ").split(" ") for text in some]
+        fresh = _encode_words(tokenizer, list(set().union(*split).difference(known)))
+        known.update(fresh)
+        yield [b"".join(map(known.__getitem__, words)) for words in split]
+        if len(known) > CACHE_WORDS:
+            for word in fresh:
+                del known[word]
