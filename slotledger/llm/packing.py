@@ -127,39 +127,55 @@ class Packer:
         self.pool = [x for x in self.pool if len(x.ids)]
 
 
-def _pack(kind: pa.DataType, max_tokens: int, max_segments: int, max_loss: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(
-            max_tokens, max_segments, max_loss, TaskContext.get().partitionId() << _SEQUENCE_BITS
+def _lay(
+    examples: Iterator[_Example], kind: pa.DataType, max_tokens: int, max_segments: int, max_loss: int
+) -> Iterator[pa.RecordBatch]:
+    """Pieces of one partition's examples."""
+    first = TaskContext.get().partitionId() << _SEQUENCE_BITS
+    packer = Packer(max_tokens, max_segments, max_loss, first)
+
+    def flush() -> pa.RecordBatch:
+        rows, packer.pieces = packer.pieces, []
+        keys, ids, *longs = zip(*rows) if rows else [()] * len(_PIECE)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(keys, type=kind),
+                pa.array(ids, type=pa.binary()),
+                *[pa.array(x, type=pa.int64()) for x in longs],
+            ],
+            names=_PIECE,
         )
 
-        def flush() -> pa.RecordBatch:
-            rows, packer.pieces = packer.pieces, []
-            keys, ids, *longs = zip(*rows) if rows else [()] * len(_PIECE)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, type=kind),
-                    pa.array(ids, type=pa.binary()),
-                    *[pa.array(x, type=pa.int64()) for x in longs],
-                ],
-                names=_PIECE,
-            )
-
-        waiting = 0
-        for batch in batches:
-            for key, packed, marks in zip(*(batch.column(c) for c in ("_id", "_ids", "_loss"))):
-                ids = np.frombuffer(packed.as_py(), dtype="<u4")
-                loss = np.zeros(len(ids) + 1, dtype=np.int64)
-                np.cumsum(np.frombuffer(marks.as_py(), dtype=np.uint8), out=loss[1:])
-                packer.add(_Example(key.as_py(), ids, loss))
-                waiting += 4 * len(ids)
-                if waiting > _FLUSH:
-                    yield flush()
-                    waiting = 0
-        packer.finish()
-        yield flush()
+    waiting = 0
+    for example in examples:
+        waiting += 4 * len(example.ids)
+        packer.add(example)
+        if waiting > _FLUSH:
+            yield flush()
+            waiting = 0
+    packer.finish()
+    yield flush()
+
+
+def _run(examples, plain: DataFrame, id_col: str, limits: tuple[int, int, int]) -> DataFrame:
+    kind = plain.schema["_id"].dataType
+    arrow = to_arrow_type(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _lay(examples(batches), arrow, *limits)
 
-    return run
+    longs = ", ".join(f"{name} bigint" for name in _PIECE[2:])
+    laid = plain.mapInArrow(run, f"_id {kind.simpleString()}, ids binary, {longs}")
+    return laid.withColumnRenamed("_id", id_col)
+
+
+def _given(batches: Iterator[pa.RecordBatch]) -> Iterator[_Example]:
+    for batch in batches:
+        for key, packed, marks in zip(*(batch.column(c) for c in ("_id", "_ids", "_loss"))):
+            ids = np.frombuffer(packed.as_py() or b"", dtype="<u4")
+            loss = np.zeros(len(ids) + 1, dtype=np.int64)
+            np.cumsum(np.frombuffer(marks.as_py() or b"", dtype=np.uint8), out=loss[1:])
+            yield _Example(key.as_py(), ids, loss)
 
 
 def pack(
@@ -173,48 +189,42 @@ def pack(
 
     ``examples`` has ``id_col``, ``ids`` (little-endian unsigned 32-bit ids as binary) and
     ``loss`` (binary, one byte per id, 1 where it bears loss). Per piece: ``id_col``,
-    ``ids``, ``start`` and ``length`` in its example of ``doc_tokens`` ids,
-    ``sequence_id``, ``offset`` and ``loss_tokens``.
+    ``ids``, ``start`` and ``length`` in its example of ``doc_tokens`` ids, ``loss_tokens``,
+    ``sequence_id`` and ``offset``.
     """
     plain = examples.select(
         F.col(id_col).alias("_id"), F.col("ids").alias("_ids"), F.col("loss").alias("_loss")
     )
-    field = plain.schema["_id"]
-    laid = plain.mapInArrow(
-        _pack(to_arrow_type(field.dataType), max_tokens, max_segments, max_loss),
-        f"_id {field.dataType.simpleString()}, ids binary, "
-        + ", ".join(f"{name} bigint" for name in _PIECE[2:]),
-    )
-    return laid.withColumnRenamed("_id", id_col)
+    return _run(_given, plain, id_col, (max_tokens, max_segments, max_loss))
+
 
+def _tokenized(path: str, end_id: int, drops_spaces: bool):
+    """Whole texts as examples; all ids but the closing one bear loss."""
 
-def tokenized(
+    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[_Example]:
+        end = array.array("I", [end_id]).tobytes()
+        for batch in batches:
+            keys = iter(batch.column("_id").to_pylist())
+            for some in encode_texts(batch.column("_text").to_pylist(), path, drops_spaces):
+                for packed in some:
+                    ids = np.frombuffer(packed + end, dtype="<u4")
+                    yield _Example(next(keys), ids, np.minimum(np.arange(len(ids) + 1), len(ids) - 1))
+
+    return examples
+
+
+def pack_texts(
     docs: DataFrame,
     id_col: str,
     path: str,
     end_id: int,
     text_col: str = "text",
     drops_spaces: bool = True,
+    max_tokens: int = MAX_TOKENS,
+    max_segments: int = MAX_SEGMENTS,
+    max_loss: int = MAX_TOKENS,
 ) -> DataFrame:
-    """``id_col``, ``ids`` and ``loss`` of whole texts; all ids but the closing one bear loss."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = array.array("I", [end_id]).tobytes()
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            at = 0
-            for ids in encode_texts(texts, path, drops_spaces):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("_id").slice(at, len(ids)),
-                        pa.array([x + end for x in ids], type=pa.binary()),
-                        pa.array([b"\1" * (len(x) // 4) + b"\0" for x in ids], type=pa.binary()),
-                    ],
-                    names=["_id", "ids", "loss"],
-                )
-                at += len(ids)
-
-    kind = docs.schema[id_col].dataType.simpleString()
+    """Tokenize whole texts with the tokenizer at ``path``, close each with ``end_id`` and pack."""
     plain = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-    found = plain.mapInArrow(run, f"_id {kind}, ids binary, loss binary")
-    return found.withColumnRenamed("_id", id_col)
+    examples = _tokenized(path, end_id, drops_spaces)
+    return _run(examples, plain, id_col, (max_tokens, max_segments, max_loss))

@@ -9,7 +9,7 @@ import public_tokenizers
 
 from slotledger.llm import sql
 from slotledger.llm.decontaminate import contamination, is_contaminated
-from slotledger.llm.packing import pack, tokenized
+from slotledger.llm.packing import pack_texts
 from slotledger.llm.simhash import near_duplicates
 from slotledger.llm.substrings import without_repeats
 from slotledger.llm.support import table
@@ -18,7 +18,7 @@ from slotledger.llm.support import table
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents laid into sequences of 4096 tokens."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    pieces = pack(tokenized(table(spark, sf_dir, "documents"), "doc_id", path, end_id=2), "doc_id")
+    pieces = pack_texts(table(spark, sf_dir, "documents"), "doc_id", path, end_id=2)
     return pieces.select(
         "doc_id",
         "start",

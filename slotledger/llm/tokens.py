@@ -11,6 +11,8 @@ from slotledger.llm.support import once_per_worker
 
 CACHE_WORDS = 400_000  # about 100 MB; once full, new words are kept for one slice only
 SLICE_TEXTS = 512
+_TAILS = (".", ",")
+_LATIN_END = "\u0250"
 _JOINED = 8192  # words encoded as one text
 _MARK = "7"  # a digit is a token of its own where digits are single
 
@@ -25,7 +27,7 @@ def _encode(tokenizer, texts: list[str]) -> list[list[int]]:
     return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def _encode_words(tokenizer, words: list[str]) -> dict[str, bytes]:
+def _marked(tokenizer, words: list[str]) -> dict[str, bytes]:
     """Ids of each word. Many words go in one text, with a marking digit between any two;
     words with that digit, or all if the tokenizer does not keep it apart, go singly."""
     mark, first, last, three = _encode(tokenizer, [_MARK, "a", "b", f"a {_MARK} b"])
@@ -43,6 +45,51 @@ def _encode_words(tokenizer, words: list[str]) -> dict[str, bytes]:
     return out
 
 
+def _word_ends(tokenizer) -> np.ndarray | None:
+    """By id, whether the token ends a word; None if the vocabulary does not tell."""
+    suffix = tokenizer.model.end_of_word_suffix
+    if not suffix:
+        return None
+    vocabulary = tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return ends
+
+
+def _letters(words: list[str], tokenizer, path: str) -> dict[str, bytes]:
+    """Ids of words of Latin letters only: one word, one token with a word end."""
+    ends_word = once_per_worker(("ends", path), lambda: _word_ends(tokenizer))
+    if ends_word is None:
+        return _marked(tokenizer, words)
+    out = {}
+    for at in range(0, len(words), _JOINED):
+        some = words[at : at + _JOINED]
+        ids = np.array(_encode(tokenizer, [" ".join(some)])[0], dtype="<u4")
+        ends = (np.flatnonzero(ends_word[ids]) + 1) * 4
+        packed = ids.tobytes()
+        bounds = zip(some, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)
+        out.update((w, packed[a:b]) for w, a, b in bounds)
+    return out
+
+
+def _encode_words(tokenizer, path: str, words: set[str]) -> dict[str, bytes]:
+    """Ids of each word; a word of letters and one point or comma is two words' ids."""
+    letters, tailed, others = set(), [], []
+    for word in words:
+        stem = word[:-1] if word[-1:] in _TAILS else word
+        if stem.isalpha() and max(stem) < _LATIN_END:
+            letters.add(stem)
+            if stem is not word:
+                tailed.append((word, stem, word[-1]))
+        else:
+            others.append(word)
+    others += _TAILS
+    out = _letters(list(letters), tokenizer, path)
+    out.update(_marked(tokenizer, others))
+    out.update([(word, out[stem] + out[tail]) for word, stem, tail in tailed])
+    return out
+
+
 def encode_texts(texts: list[str], path: str, drops_spaces: bool) -> Iterator[list[bytes]]:
     """Ids of every whole text, as bytes, slice by slice.
 
@@ -57,9 +104,9 @@ def encode_texts(texts: list[str], path: str, drops_spaces: bool) -> Iterator[li
             yield [array.array("I", ids).tobytes() for ids in _encode(tokenizer, some)]
             continue
         split = [text.replace("\n", " ").split(" ") for text in some]
-        fresh = _encode_words(tokenizer, list(set().union(*split).difference(known)))
+        fresh = _encode_words(tokenizer, path, set().union(*split).difference(known))
         known.update(fresh)
         yield [b"".join(map(known.__getitem__, words)) for words in split]
         if len(known) > CACHE_WORDS:
             for word in fresh:
-                del known[word]
+                known.pop(word, None)
