@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import array
+import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 
 from slotledger.llm.support import once_per_worker
 
-CACHE_WORDS = 400_000  # about 100 MB; once full, new words are kept for one slice only
-SLICE_TEXTS = 512
+CACHE_WORDS = 800_000  # about 200 MB; once full, new words are kept for one slice only
+SLICE_TEXTS = 1024
 _TAILS = (".", ",")
-_LATIN_END = "\u0250"
+# Letters that keep being one letter in lower case.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 _JOINED = 8192  # words encoded as one text
 _MARK = "7"  # a digit is a token of its own where digits are single
 
@@ -72,22 +75,24 @@ def _letters(words: list[str], tokenizer, path: str) -> dict[str, bytes]:
     return out
 
 
-def _encode_words(tokenizer, path: str, words: set[str]) -> dict[str, bytes]:
-    """Ids of each word; a word of letters and one point or comma is two words' ids."""
-    letters, tailed, others = set(), [], []
+def _encode_words(tokenizer, path: str, words: set[str], known: dict[str, bytes]) -> None:
+    """Add the ids of each word; a word of letters and one point or comma is two words' ids."""
+    letters, tailed, others = [], [], []
     for word in words:
-        stem = word[:-1] if word[-1:] in _TAILS else word
-        if stem.isalpha() and max(stem) < _LATIN_END:
-            letters.add(stem)
-            if stem is not word:
-                tailed.append((word, stem, word[-1]))
+        if word.isalpha():
+            letters.append(word)
+        elif word[-1:] in _TAILS and word[:-1].isalpha():
+            tailed.append(word)
         else:
             others.append(word)
-    others += _TAILS
-    out = _letters(list(letters), tokenizer, path)
-    out.update(_marked(tokenizer, others))
-    out.update([(word, out[stem] + out[tail]) for word, stem, tail in tailed])
-    return out
+    stems = {word[:-1] for word in tailed}.difference(letters)
+    letters += [stem for stem in stems if stem not in known]
+    latin = [w for w in letters if _LATIN(w)]
+    if len(latin) < len(letters):
+        others += set(letters).difference(latin)
+    known.update(_letters(latin, tokenizer, path))
+    known.update(_marked(tokenizer, [*others, *_TAILS]))
+    known.update([(word, known[word[:-1]] + known[word[-1]]) for word in tailed])
 
 
 def encode_texts(texts: list[str], path: str, drops_spaces: bool) -> Iterator[list[bytes]]:
@@ -104,9 +109,10 @@ def encode_texts(texts: list[str], path: str, drops_spaces: bool) -> Iterator[li
             yield [array.array("I", ids).tobytes() for ids in _encode(tokenizer, some)]
             continue
         split = [text.replace("\n", " ").split(" ") for text in some]
-        fresh = _encode_words(tokenizer, path, set().union(*split).difference(known))
-        known.update(fresh)
+        fresh = set().union(*split).difference(known)
+        before = len(known)
+        _encode_words(tokenizer, path, fresh, known)
         yield [b"".join(map(known.__getitem__, words)) for words in split]
-        if len(known) > CACHE_WORDS:
-            for word in fresh:
-                known.pop(word, None)
+        if before > CACHE_WORDS:
+            for word in list(islice(reversed(known), len(known) - before)):
+                del known[word]
