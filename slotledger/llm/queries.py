@@ -13,6 +13,7 @@ from slotledger.llm.packing import pack_texts
 from slotledger.llm.simhash import near_duplicates
 from slotledger.llm.substrings import without_repeats
 from slotledger.llm.support import table
+from slotledger.llm.token_counts import token_counts
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +44,13 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and whether they exceed 512."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    counts = token_counts(table(spark, sf_dir, "documents"), path, pattern)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose fingerprints differ in 4 bits at most."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
@@ -60,6 +68,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op5_decontamination": op5_decontamination,
+    "op6_token_counts": op6_token_counts,
     "op8_simhash": op8_simhash,
     "op10_substring_dedup": op10_substring_dedup,
 }
