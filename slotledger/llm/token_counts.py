@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotledger.llm.support import once_per_worker, text_or_empty
+from slotledger.llm.support import text_or_empty
 from slotledger.llm.tokens import load
 from slotledger.session import cut
 
@@ -123,7 +123,7 @@ def _frequencies(pattern: str, path: str, head):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = _splitter(pattern, _special_tokens(path))
-        known = once_per_worker(("head", head.id), lambda: _Known(head.value))
+        known = _Known(head.value)
         pieces = known.__getitem__
         for batch in batches:
             sizes, tokens, rare, times = [], [], [], []
