@@ -148,6 +148,25 @@ def _frequencies(pattern: str, path: str, head):
     return run
 
 
+def _frequent(pieces: DataFrame, head: int) -> dict[str, int]:
+    """Pieces of the most frequent pre-tokens, ``head`` at most.
+
+    Counts are taken in steps of an eighth of a power of two, a few hundred at any size;
+    the table holds all pre-tokens from the lowest step on that it has room for.
+    """
+    step = F.floor(8 * F.log2(F.col("n"))).cast("int")
+    steps = pieces.groupBy(step.alias("step")).count().collect()
+    room, lowest = head, None
+    for row in sorted(steps, reverse=True):
+        room -= row["count"]
+        if room < 0:
+            break
+        lowest = row["step"]
+    if lowest is None:
+        return {}
+    return {r.pre: r.pieces for r in pieces.filter(step >= lowest).select("pre", "pieces").collect()}
+
+
 def token_counts(
     docs: DataFrame,
     path: str,
@@ -170,8 +189,7 @@ def token_counts(
     pieces = cut(
         vocabulary.mapInArrow(_count_pieces(path), "pre string, n bigint, pieces bigint"), "pieces"
     )
-    frequent = pieces.orderBy(F.desc("n"), "pre").limit(head).select("pre", "pieces").collect()
-    table = spark.sparkContext.broadcast({r.pre: r.pieces for r in frequent})
+    table = spark.sparkContext.broadcast(_frequent(pieces, head))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = cut(
         texts.mapInArrow(
