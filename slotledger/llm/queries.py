@@ -9,6 +9,7 @@ import public_tokenizers
 
 from slotledger.llm import sql
 from slotledger.llm.decontaminate import contamination, is_contaminated
+from slotledger.llm.licenses import license_scan
 from slotledger.llm.packing import pack_texts
 from slotledger.llm.simhash import near_duplicates
 from slotledger.llm.substrings import without_repeats
@@ -31,6 +32,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    return license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -67,6 +73,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_license_scan": op2_license_scan,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
     "op8_simhash": op8_simhash,
