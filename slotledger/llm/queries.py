@@ -15,6 +15,16 @@ from slotledger.llm.simhash import near_duplicates
 from slotledger.llm.substrings import without_repeats
 from slotledger.llm.support import table
 from slotledger.llm.token_counts import token_counts
+from slotledger.llm.url_rules import judge_urls
+
+# The rules of the query.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +67,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose fingerprints differ in 4 bits at most."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
@@ -76,11 +92,13 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
+    "op7_url_rules": op7_url_rules,
     "op8_simhash": op8_simhash,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES = {
     "op5_decontamination": sql.DECONTAMINATION,
+    "op7_url_rules": sql.URL_RULES,
     "op10_substring_dedup": sql.SUBSTRINGS,
 }

@@ -49,3 +49,23 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)
 """
+
+URL_RULES = rf"""
+WITH r(host, path, verdict) AS (VALUES
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+rest AS (
+  SELECT row_number() OVER () AS n, page_id,
+         CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+u AS (
+  SELECT n, page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest),
+fit AS (
+  SELECT n, arg_max(r.host || r.path, length(r.host) + length(r.path)) AS rule,
+         arg_max(verdict, length(r.host) + length(r.path)) AS verdict
+  FROM u JOIN r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
+  GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN fit USING (n)
+"""
