@@ -9,6 +9,7 @@ import public_tokenizers
 
 from slotledger.llm import sql
 from slotledger.llm.decontaminate import contamination, is_contaminated
+from slotledger.llm.html_text import extract_text
 from slotledger.llm.licenses import license_scan
 from slotledger.llm.packing import pack_texts
 from slotledger.llm.simhash import near_duplicates
@@ -47,6 +48,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -90,6 +96,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_license_scan": op2_license_scan,
+    "op4_html_text": op4_html_text,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
     "op7_url_rules": op7_url_rules,
