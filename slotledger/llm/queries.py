@@ -11,6 +11,7 @@ from slotledger.llm import sql
 from slotledger.llm.decontaminate import contamination, is_contaminated
 from slotledger.llm.html_text import extract_text
 from slotledger.llm.licenses import license_scan
+from slotledger.llm.nearest import nearest
 from slotledger.llm.packing import pack_texts
 from slotledger.llm.simhash import near_duplicates
 from slotledger.llm.substrings import without_repeats
@@ -85,6 +86,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found of every vector whose id is divisible by 100."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of repeated windows of 35 words taken out of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -101,6 +107,7 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_url_rules": op7_url_rules,
     "op8_simhash": op8_simhash,
+    "op9_nearest": op9_nearest,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
