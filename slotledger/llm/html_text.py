@@ -21,7 +21,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotledger.llm.mincut import label
@@ -203,23 +203,32 @@ def main_text(page: str) -> str:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [main_text(page) for page in batch.column("_html").to_pylist()]
+        kept = [n for n in batch.schema.names if n != "_html"]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_id"), batch.column("_url"), pa.array(texts, pa.string())],
-            names=["_id", "_url", "text"],
+            [*[batch.column(n) for n in kept], pa.array(texts, pa.string())], names=[*kept, "text"]
         )
 
 
 def extract_text(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+    pages: DataFrame,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    html_col: str = "html",
+    **others: Column,
 ) -> DataFrame:
-    """Per row: ``id_col``, ``url_col``, ``text`` and ``n_chars`` (code points)."""
+    """Per row: ``id_col``, ``url_col``, ``text``, ``n_chars`` (code points) and ``others``."""
     plain = pages.select(
         F.col(id_col).alias("_id"),
         F.col(url_col).alias("_url"),
         F.coalesce(F.col(html_col), F.lit("")).alias("_html"),
+        *[column.alias(f"_o_{name}") for name, column in others.items()],
     )
-    kind = plain.schema["_id"].dataType.simpleString()
-    found = plain.mapInArrow(_extract, f"_id {kind}, _url string, text string")
-    return found.select(
-        F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text", F.length("text").cast("bigint").alias("n_chars")
+    kept = [f for f in plain.schema.fields if f.name != "_html"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    return plain.mapInArrow(_extract, f"{schema}, text string").select(
+        F.col("_id").alias(id_col),
+        F.col("_url").alias(url_col),
+        "text",
+        F.length("text").cast("bigint").alias("n_chars"),
+        *[F.col(f"_o_{name}").alias(name) for name in others],
     )

@@ -10,6 +10,7 @@ import public_tokenizers
 from slotledger.llm import sql
 from slotledger.llm.decontaminate import contamination, is_contaminated
 from slotledger.llm.html_text import extract_text
+from slotledger.llm.language import declared_language, fit, identify
 from slotledger.llm.licenses import license_scan
 from slotledger.llm.nearest import nearest
 from slotledger.llm.packing import pack_texts
@@ -17,7 +18,7 @@ from slotledger.llm.simhash import near_duplicates
 from slotledger.llm.substrings import without_repeats
 from slotledger.llm.support import table
 from slotledger.llm.token_counts import token_counts
-from slotledger.llm.url_rules import judge_urls
+from slotledger.llm.url_rules import judge_urls, with_host_and_path
 
 # The rules of the query.
 URL_RULES = [
@@ -49,6 +50,30 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document and of every page.
+
+    Pages bring main text, markup language and address; documents bring text and, as
+    host, their source: their ``lang`` column is the label the text model is fitted on.
+    """
+    documents = table(spark, sf_dir, "documents")
+    languages, model = fit(documents, "doc_id", "text", "lang")
+    pages = table(spark, sf_dir, "pages")
+    page_rows = with_host_and_path(extract_text(pages, declared=declared_language("html")), "url")
+    rows = documents.select(
+        F.struct(F.col("doc_id"), F.lit(None).cast("bigint").alias("page_id")).alias("id"),
+        "text", F.lit(None).cast("string").alias("declared"), F.col("source").alias("host"),
+    ).unionByName(
+        page_rows.select(
+            F.struct(F.lit(None).cast("bigint").alias("doc_id"), "page_id").alias("id"),
+            "text", "declared", F.nullif("host", F.lit("")).alias("host"),
+        )
+    )
+    return identify(rows, languages, model).select(
+        "id.doc_id", "id.page_id", "lang", "score", "text_lang", "accepted"
+    )
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return extract_text(table(spark, sf_dir, "pages"))
@@ -102,6 +127,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_license_scan": op2_license_scan,
+    "op3_language_id": op3_language_id,
     "op4_html_text": op4_html_text,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
