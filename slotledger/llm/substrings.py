@@ -16,6 +16,9 @@ three passes below read a block where it lies and shuffle no text:
    range, and come back as one bit per key;
 3. each block drops the covered words.
 
+A block is a bucket of that table. For more than 100,000 of them, about 800 GB of text,
+raise ``BLOCK_BYTES``, or Spark's own limit ``spark.sql.sources.bucketing.maxBuckets``.
+
 The sketch grows with the input (``CELLS`` cells a window and row) and is spread
 over its segments, so the share of unique windows that pass stays near 1-2 % at any
 size. A text that is copied into a third of all rows is met once per block.
@@ -236,7 +239,7 @@ def _covered(words, inside: np.ndarray, repeated: np.ndarray, window: int) -> np
     return np.cumsum(mark[:-1]) > 0
 
 
-def _keep(window: int, rows: int, segments: int, columns: list[str]):
+def _keep(window: int, rows: int, segments: int, columns: list[str], respace: bool):
     def run(block: pa.Table, again: pa.Table) -> pa.Table:
         sketch = again.filter(pc.greater_equal(again.column("row"), 0))
         exact = again.filter(pc.less(again.column("row"), 0))
@@ -252,7 +255,7 @@ def _keep(window: int, rows: int, segments: int, columns: list[str]):
 
         counts, removed, kept, at = [], [], [], 0
         for chunk, words, inside in slices:
-            data, _ = text_buffer(chunk)
+            data, offsets = text_buffer(chunk)
             here = int(inside.sum())
             gone = _covered(words, inside, repeated[at : at + here], window)
             at += here
@@ -261,6 +264,10 @@ def _keep(window: int, rows: int, segments: int, columns: list[str]):
                 own = np.flatnonzero(~gone[begin:end]) + begin
                 counts.append(end - begin)
                 removed.append(end - begin - len(own))
+                if not respace and not removed[-1]:
+                    row = words.first + i
+                    kept.append(data[offsets[row] : offsets[row + 1]].tobytes())
+                    continue
                 kept.append(
                     b" ".join(
                         data[s:e].tobytes()
@@ -296,11 +303,16 @@ def _blocks(docs: DataFrame, text_col: str, blocks: int) -> DataFrame:
 
 
 def without_repeats(
-    docs: DataFrame, text_col: str = "text", window: int = WINDOW, rows: int = ROWS
+    docs: DataFrame,
+    text_col: str = "text",
+    window: int = WINDOW,
+    rows: int = ROWS,
+    respace: bool = True,
 ) -> DataFrame:
     """The rows of ``docs`` without ``text_col``, plus ``n_words``, ``n_removed`` and ``kept``.
 
-    ``kept`` is the words that stay, joined by one space.
+    ``kept`` is the words that stay, joined by one space; without ``respace`` a text that
+    loses nothing stays as it is.
     """
     others = [c for c in docs.columns if c != text_col]
     inner = {c: f"c{i}" for i, c in enumerate(others)}  # the caller's names may clash with ours
@@ -327,7 +339,7 @@ def without_repeats(
         table.groupBy("block")
         .cogroup(marks.groupBy("block"))
         .applyInArrow(
-            _keep(window, rows, segments, list(inner.values())),
+            _keep(window, rows, segments, list(inner.values()), respace),
             f"{fields}, n_words bigint, n_removed bigint, kept string",
         )
     )
