@@ -35,12 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotledger.llm.components import roots
-from slotledger.llm.support import text_or_empty
+from slotledger.llm.support import bounded, text_or_empty
 from slotledger.session import cut
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 BITS = 64
 GROUP = 8192  # most rows of a value that one task compares
+COMPONENTS = 1_000_000  # broadcast bound of components of more than one fingerprint
 _SPACED = re.compile(rb"[^\x20\x09-\x0D]+")
 _SLICE = 1 << 16  # hashes whose bits are counted at once
 # What a probe costs to shuffle and sort, in comparisons of two fingerprints.
@@ -317,9 +318,9 @@ def near_duplicates(
     )
     # Only fingerprints with a link share a component with another one.
     linked = found.join(stars.select(F.col("root").alias("component")).distinct(), "component", "left_semi")
-    ids = linked.groupBy("component").agg(F.min("_least").alias("_reached"))
+    ids = cut(linked.groupBy("component").agg(F.min("_least").alias("_reached")), "component-ids")
     named = cut(
-        found.join(ids, "component", "left").select(
+        found.join(bounded(ids, COMPONENTS), "component", "left").select(
             "_print", "component", F.when(F.col("_reached").isNotNull(), F.col("_reached")).otherwise(F.col("_least")).alias("component_id")
         ),
         "components",

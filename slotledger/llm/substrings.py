@@ -312,9 +312,9 @@ def without_repeats(
     """The rows of ``docs`` without ``text_col``, plus ``n_words``, ``n_removed`` and ``kept``.
 
     ``kept`` is the words that stay, joined by one space; without ``respace`` a text that
-    loses nothing stays as it is.
+    loses nothing stays as it is. Columns of the same names are replaced.
     """
-    others = [c for c in docs.columns if c != text_col]
+    others = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed", "kept")]
     inner = {c: f"c{i}" for i, c in enumerate(others)}  # the caller's names may clash with ours
     plain = docs.select(F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -1,6 +1,8 @@
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 
 def words(text, pattern=r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"):
@@ -13,6 +15,53 @@ def spaced(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
+def prose(seed, count, vocabulary=400):
+    draw = random.Random(seed)
+    return " ".join(f"w{draw.randrange(vocabulary)}" for _ in range(count))
+
+
+SHARED = prose(1, 60)
+TEXTS = [
+    (1, None),
+    (2, ""),
+    (3, " \t\n "),
+    (4, prose(2, 6000, 3000)),
+    (5, f"{prose(3, 90)} {SHARED} {prose(4, 50)}"),
+    (6, f"{prose(5, 30)},{SHARED}!"),
+    (7, prose(6, 120)),
+    (8, prose(6, 120)),
+    (8, prose(6, 120)),
+    (9, "la " * 200),
+    (None, prose(7, 80)),
+    (None, None),
+    (10, "Ünïcode wörds ß \x1c   日本語 テキスト, Ärger!" * 20),
+    (11, "one\x00two three"),
+    (12, prose(6, 119) + " changed"),
+    (13, "x"),
+    (14, "A" * 5000),
+    (15, "Odd  spacing\n stays"),
+]
+#: Names that operators use inside.
+CLASHES = ["_id", "_text", "block", "place", "hash", "u", "v", "n_words", "copies", "label", "row", "_row"]
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    made = spark.createDataFrame(TEXTS, "doc_id bigint, text string").repartition(3)
+    for i, name in enumerate(CLASHES):
+        made = made.withColumn(name, F.lit(f"x{i}"))
+    return made
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], "doc_id bigint, text string")
+
+
+def ordered(rows):
+    return sorted(rows, key=repr)
+
+
 @pytest.fixture(scope="session")
 def sf():
     return "/root/testdata/sf0.001"

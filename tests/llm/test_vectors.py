@@ -1,0 +1,72 @@
+"""Nearest neighbours against all distances."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from slotledger.llm.nearest import hilbert_keys, nearest
+
+KIND = "vec_id bigint, embedding array<float>"
+
+
+def brute(rows, k=10):
+    """Query -> the k nearest (score, id) among the other valid rows."""
+    valid = {}
+    for i, v in rows:
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            valid[i] = np.array(v, dtype=np.float32).astype(np.float64)
+    ids = sorted(valid)
+    matrix = np.array([valid[i] for i in ids])
+    out = {}
+    for i in ids:
+        if i % 100 == 0:
+            scores = np.sqrt(((matrix - valid[i]) ** 2).sum(axis=1))
+            out[i] = sorted((s, j) for s, j in zip(scores.tolist(), ids) if j != i)[:k]
+    return out
+
+
+def found_by_query(frame):
+    found = {}
+    for r in frame.orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    return found
+
+
+def test_hilbert_curve_visits_every_cell_by_steps_of_one():
+    for count, bits in ((2, 4), (3, 3), (4, 2)):
+        side = 1 << bits
+        cells = np.stack(np.meshgrid(*[np.arange(side)] * count), axis=-1).reshape(-1, count)
+        keys = hilbert_keys(cells, bits)
+        assert sorted(keys.tolist()) == list(range(side**count))
+        steps = np.abs(np.diff(cells[np.argsort(keys)], axis=0)).sum(axis=1)
+        assert (steps == 1).all()
+
+
+def test_small_tables_are_exact(spark):
+    draw = np.random.default_rng(1)
+    rows = [(int(i), draw.normal(size=6).tolist()) for i in range(900, 1260)]
+    same = [1.0] * 6
+    rows += [(int(i), same) for i in range(2000, 2450)]  # one vector many times: ties go to small ids
+    rows += [rows[0], (3000, None), (3100, [0.0] * 6), (3200, [float("nan")] * 6), (3300, [None] * 6)]
+    rows += [(3400, [float("inf")] + [1.0] * 5), (3500, []), (None, same), (3600, [1.0] * 5)]
+    frame = spark.createDataFrame(rows, KIND).withColumn("v", F.lit("clash")).repartition(3)
+    found = found_by_query(nearest(frame, F.col("vec_id") % 100 == 0))
+    expected = brute([r for r in rows if r[0] != 3600])
+    assert found.keys() == expected.keys() == {900, 1000, 1100, 1200, 2000, 2100, 2200, 2300, 2400}
+    for query, own in expected.items():
+        assert [i for _, i in found[query]] == [i for _, i in own]
+        assert np.allclose([s for s, _ in found[query]], [s for s, _ in own], rtol=0, atol=1e-12)
+
+
+def test_fewer_candidates_than_wanted(spark):
+    frame = spark.createDataFrame([(100, [1.0, 0.0]), (7, [0.0, 1.0]), (200, [1.0, 1.0])], KIND)
+    found = found_by_query(nearest(frame, F.col("vec_id") % 100 == 0))
+    assert {q: [i for _, i in own] for q, own in found.items()} == {100: [200, 7], 200: [7, 100]}
+    assert nearest(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_recall_with_narrow_windows(spark, sf):
+    frame = spark.read.parquet(f"{sf}/embeddings.parquet")
+    found = found_by_query(nearest(frame, F.col("vec_id") % 100 == 0, window=64))
+    expected = brute([(r.vec_id, r.embedding) for r in frame.collect()])
+    hits = sum(len({i for _, i in own} & {i for _, i in found[q]}) for q, own in expected.items())
+    assert hits >= 0.9 * 10 * len(expected)
