@@ -78,10 +78,11 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that repeat anywhere; others stay as they are."""
-    cleaned = without_repeats(docs, respace=False).withColumnRenamed("kept", "text")
-    return cleaned.withColumn(
-        "n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    ).select(*docs.columns)
+    row = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
+    cleaned = without_repeats(docs.select(row, "text"), respace=False)
+    changed = F.when(F.col("n_removed") > 0, F.length("kept").cast("bigint")).otherwise(F.col("row.n_chars"))
+    new = {"text": F.col("kept"), "n_chars": changed}
+    return cleaned.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
