@@ -11,7 +11,7 @@ from slotledger import schemas as S
 from slotledger.functions import movement_parts, occupancy
 from slotledger.operators import billing, bronze, ledger, marts, quality, spine, upsert
 from slotledger.operators.bronze import time_literal
-from slotledger.plans.oracle import on_both, on_ledger, on_operations, on_spine
+from slotledger.plans.oracle import DAILY, on_both, on_ledger, on_operations, on_spine
 from slotledger.plans.pipeline import Warehouse
 from slotledger.plans.sample_ledger import AS_OF, SampleLedger, text
 from slotledger.session import cut, scratch_path
@@ -151,6 +151,22 @@ def item_running_balance(sample):
     )
 
 
+HOT = 500  # a group of more rows is cut into chunks
+
+
+@query(on_operations("""
+SELECT id, store_id, slot_id, item_id, open_slot_balance, close_slot_balance, open_total_balance,
+       close_total_balance
+FROM balanced"""))
+def chunked_running_balances(sample):
+    """Both balances with groups cut into chunks, as very large groups are."""
+    balanced = ledger.running_balances(sample.split(), HOT)
+    return balanced.select(
+        "id", *S.GRAIN, "open_slot_balance", "close_slot_balance", "open_total_balance",
+        "close_total_balance",
+    )
+
+
 @query(on_operations("SELECT * FROM opsb"))
 def enrich_operations(sample):
     return sample.operations_with_balance()
@@ -380,7 +396,9 @@ def dq_spine_injected(sample):
 
 @query(on_both("""
 , o AS (SELECT store_id, slot_id, item_id, moment_day, SUM(quantity) AS q,
-               SUM(real_in) AS i, SUM(real_out) AS r FROM opsb GROUP BY ALL)
+               SUM(real_in) AS i, SUM(real_out) AS r FROM opsb GROUP BY ALL),
+partners AS (SELECT * FROM opsb WHERE doc_type IN ('supply', 'enter', 'demand', 'loss')),
+counted_real AS (SELECT COUNT(*) AS n FROM opsb WHERE doc_type <> 'move')
 SELECT 'spine_quantity_reconciles' AS check_name, COUNT(*) AS violations
   FROM spine s JOIN o USING (store_id, slot_id, item_id, moment_day)
   WHERE s.quantity <> o.q
@@ -394,10 +412,16 @@ UNION ALL SELECT 'shipments_only', COUNT(*)
                      FROM opsb WHERE doc_type <> 'move' GROUP BY ALL) p
        USING (store_id, slot_id, item_id, moment_day)
   WHERE s.quantity <> p.q
-UNION ALL SELECT 'partners_match', 0
-UNION ALL SELECT 'partners_match_all', 1
-UNION ALL SELECT 'union_match', 0
-UNION ALL SELECT 'mart_match', 0"""))
+UNION ALL SELECT 'partners_match', CAST((SELECT COUNT(*) FROM partners) <> n AS BIGINT) FROM counted_real
+UNION ALL SELECT 'partners_match_cut', CAST((SELECT COUNT(*) FROM partners WHERE quantity <= 45) <> n AS BIGINT)
+  FROM counted_real
+UNION ALL SELECT 'partners_match_all', CAST((SELECT COUNT(*) FROM opsb) <> n AS BIGINT) FROM counted_real
+UNION ALL SELECT 'union_match', CAST((SELECT COUNT(*) FROM operations_all) <> COUNT(*) AS BIGINT) FROM united
+UNION ALL SELECT 'union_match_cut', CAST((SELECT COUNT(*) FROM operations_all) <> COUNT(*) AS BIGINT)
+  FROM united WHERE doc_type <> 'loss'
+UNION ALL SELECT 'mart_match', CAST((SELECT COUNT(*) FROM (SELECT store_name FROM opsb)) <> COUNT(*) AS BIGINT)
+  FROM opsb
+UNION ALL SELECT 'mart_match_cut', CAST(COUNT(*) FILTER (WHERE quantity <= 45) <> COUNT(*) AS BIGINT) FROM opsb"""))
 def dq_reconcile_layers(sample):
     """Reconciliations between layers; two compare what must differ, and are counted too."""
     everything = cut(sample.operations_all(), "ledger")
@@ -423,10 +447,19 @@ def dq_reconcile_layers(sample):
             "partners_match": quality.partners_match_operations(
                 marts.partner_movements(operations), operations
             ),
+            "partners_match_cut": quality.partners_match_operations(
+                marts.partner_movements(operations).filter("quantity <= 45"), operations
+            ),
             "partners_match_all": quality.partners_match_operations(operations, operations),
             "union_match": quality.union_matches_documents(
                 everything, list(sample.documents().values())
             ),
+            "union_match_cut": quality.union_matches_documents(
+                everything, [d for kind, d in sample.documents().items() if kind != "loss"]
+            ),
+            "mart_match_cut": quality.mart_matches_operations(
+                marts.operations_mart(operations).filter("quantity <= 45"), operations
+            ),
             "mart_match": quality.mart_matches_operations(
                 marts.operations_mart(operations), operations
             ),
@@ -469,12 +502,15 @@ UNION ALL SELECT 'no_depositor', COUNT(*) FROM opsb WHERE depositor_id IS NULL
 UNION ALL SELECT 'real_in', COUNT(*) FROM opsb WHERE real_in < 0
 UNION ALL SELECT 'real_out', COUNT(*) FROM opsb WHERE real_out > 0
 UNION ALL SELECT 'real_out_as_in', COUNT(*) FROM opsb WHERE real_out < 0
-UNION ALL SELECT 'audit_duplicates', 0
+UNION ALL SELECT 'audit_duplicates', COUNT(*) FROM
+  (SELECT doc_id FROM audit_latest GROUP BY doc_id HAVING COUNT(*) > 1) d
 UNION ALL SELECT 'event_duplicates', COUNT(*) FROM
   (SELECT doc_id FROM audit_events GROUP BY doc_id HAVING COUNT(*) > 1) d
-UNION ALL SELECT 'errors_without_tag', 0
+UNION ALL SELECT 'errors_without_tag', COUNT(*) FROM (SELECT * FROM opsb WHERE length(slot_oper_errors) > 0) e
+  WHERE coalesce(slot_oper_errors, '') = ''
 UNION ALL SELECT 'rows_without_tag', COUNT(*) FROM opsb WHERE slot_oper_errors = ''
-UNION ALL SELECT 'partners_with_moves', 0
+UNION ALL SELECT 'partners_with_moves', COUNT(*) FROM
+  (SELECT * FROM opsb WHERE doc_type IN ('supply', 'enter', 'demand', 'loss')) p WHERE doc_type = 'move'
 UNION ALL SELECT 'moves', COUNT(*) FROM opsb WHERE doc_type = 'move'"""))
 def dq_operations(sample):
     """Checks on operations and marts; some also on rows that must fail them."""
@@ -517,7 +553,8 @@ UNION ALL SELECT 'unique.id', COUNT(*) FROM
   (SELECT id FROM opsb GROUP BY id HAVING COUNT(*) > 1) u
 UNION ALL SELECT 'unique.agent_id', COUNT(*) FROM
   (SELECT agent_id FROM opsb WHERE agent_id IS NOT NULL GROUP BY agent_id HAVING COUNT(*) > 1) u
-UNION ALL SELECT 'accepted.op_type', 0
+UNION ALL SELECT 'accepted.op_type', COUNT(DISTINCT op_type) FROM opsb WHERE op_type NOT IN ('in', 'out')
+UNION ALL SELECT 'accepted.op_type_in', COUNT(DISTINCT op_type) FROM opsb WHERE op_type NOT IN ('in')
 UNION ALL SELECT 'accepted.doc_type', CAST(SUM(n) AS BIGINT) FROM
   (SELECT COUNT(DISTINCT doc_type) AS n FROM opsb WHERE doc_type IN ('enter', 'loss')) a"""))
 def dq_generic(sample):
@@ -531,6 +568,7 @@ def dq_generic(sample):
             "unique.id": quality.unique(operations, "id"),
             "unique.agent_id": quality.unique(operations, "agent_id"),
             "accepted.op_type": quality.accepted_values(operations, "op_type", ["in", "out"]),
+            "accepted.op_type_in": quality.accepted_values(operations, "op_type", ["in"]),
             "accepted.doc_type": quality.accepted_values(
                 operations, "doc_type", ["supply", "demand", "move"]
             ),
@@ -818,19 +856,60 @@ def stream_ingest(sample):
     )
 
 
-@query(_MONTHLY)
+_EDITED = on_ledger("SELECT 0").split("\nSELECT 0")[0].replace(
+    "SELECT l.*, p.p_brand",
+    "SELECT l.* REPLACE (IF(l_orderkey % 50 = 0, 2, 1) * l_quantity AS l_quantity), p.p_brand",
+)
+
+
+@query(_EDITED + DAILY + """
+SELECT u.depositor_name, u.moment_month, u.slots_used_month, q.quantity, q.operations, 'ok, ok' AS runs
+FROM (SELECT depositor_id, MAX(depositor_name) AS depositor_name,
+             strftime(moment_day, '%Y-%m') AS moment_month,
+             CAST(SUM(slots_used_day) AS BIGINT) AS slots_used_month
+      FROM used_daily GROUP BY depositor_id, strftime(moment_day, '%Y-%m')) u
+JOIN (SELECT depositor_name, strftime(moment_day, '%Y-%m') AS moment_month,
+             SUM(quantity) AS quantity, COUNT(*) AS operations
+      FROM split JOIN items_all USING (item_id)
+      GROUP BY depositor_name, strftime(moment_day, '%Y-%m')) q
+  USING (depositor_name, moment_month)""")
 def daily_runs(sample):
-    """Two daily runs from JSON to billing: all documents first, then the audit events.
+    """Two whole days through all gates: a cold start, then edits and the audit.
 
-    The first run ignores the audit, the second takes it in and bills without
-    the documents deleted since.
+    The first run fetches no audit; the second takes it in, with some documents
+    re-sent in a later version. Billing, moved quantities and the run log are shown.
     """
     warehouse = Warehouse(sample.spark, scratch_path(sample.spark, "warehouse"), AS_OF)
-    warehouse.land(sample.raw_ledger())
-    warehouse.build_bronze()
-    warehouse.build_ledger()
-    warehouse.land(sample.raw_audit())
-    warehouse.build_bronze()
-    warehouse.build_silver()
-    warehouse.build_gold()
-    return warehouse.table("gold", "focus_slots_used_monthly")
+    warehouse.run(sample.raw_ledger().unionByName(sample.raw_audit()))
+    warehouse.run(sample.edited_documents().unionByName(sample.raw_audit()))
+    moved = (
+        warehouse.table("silver", "operations")
+        .groupBy("depositor_name", F.date_format("moment", "yyyy-MM").alias("moment_month"))
+        .agg(F.sum("quantity").cast("double").alias("quantity"), F.count("*").alias("operations"))
+    )
+    runs = warehouse.store.run_log().agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "status"))), lambda r: r["status"]), ", ").alias("runs")
+    )
+    months = warehouse.table("gold", "focus_slots_used_monthly")
+    return months.join(moved, ["depositor_name", "moment_month"]).join(runs)
+
+
+@query("""
+SELECT 'not_null.agents.name' AS check_name, COUNT(*) AS violations, 'error' AS run
+FROM customer WHERE c_custkey % 10 = 0""")
+def gate_stops(sample):
+    """A run on counterparties some of which have lost their names: the gate after the typed
+    tables stops it, and the run log says so."""
+    customers = sample.table("customer").select(
+        text("c_custkey").alias("id"),
+        F.when(F.col("c_custkey") % 10 != 0, F.col("c_name")).alias("name"),
+        F.lit("2000-01-01 00:00:00").alias("updated"),
+    )
+    warehouse = Warehouse(sample.spark, scratch_path(sample.spark, "warehouse"), AS_OF)
+    found = {}
+    try:
+        warehouse.run(tag(customers.select(F.to_json(F.struct("*")).alias("raw_json")), "counterparty"))
+    except quality.QualityError as stopped:
+        found = stopped.found
+    rows = sample.spark.createDataFrame(list(found.items()), "check_name string, violations bigint")
+    return rows.join(warehouse.store.run_log().select(F.col("status").alias("run")))

@@ -431,9 +431,51 @@ class SampleLedger:
         )
         return self.table("events").select(F.to_json(body).alias("raw_json"))
 
-    def raw_ledger(self) -> DataFrame:
-        """What ``base`` maps, as a source would send it: documents, directories, brands."""
-        lines = self.base()
+    def annexed_slots(self) -> DataFrame:
+        """Suppliers as slots, and the targets of moves that lie beyond them."""
+        suppliers = self.table("supplier")
+        targets = suppliers.select((F.col("s_suppkey") + 3).alias("s_suppkey"))
+        return (
+            suppliers.select("s_suppkey").union(targets).distinct()
+            .join(suppliers, "s_suppkey", "left")
+            .select(
+                text("s_suppkey").alias("slot_id"),
+                F.coalesce("s_name", F.concat(F.lit("Annex "), text("s_suppkey"))).alias("name"),
+                F.col("s_nationkey").alias("zone_id"),
+                F.floor(F.col("s_suppkey") / POSITIONS_PER_PAGE).alias("page"),
+            )
+        )
+
+    def raw_places(self) -> DataFrame:
+        """Regions as stores with nations as zones; each page of slots is a store of its own,
+        so that every store is sent once."""
+        changed = F.lit("2000-01-01 00:00:00").alias("updated")
+        zone = F.struct(text("n_nationkey").alias("id"), F.col("n_name").alias("name"), changed)
+        # Nations are a fixed list of 25.
+        zones = self.table("nation").groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(
+            F.array_sort(F.collect_list(zone)).alias("rows")
+        )
+        regions = self.table("region").join(zones, "r_regionkey", "left").select(
+            text("r_regionkey").alias("id"), F.col("r_name").alias("name"), changed,
+            F.struct("rows").alias("zones"),
+        )
+        slot = F.struct(
+            F.col("slot_id").alias("id"), "name", changed, F.struct(text("zone_id").alias("id")).alias("zone")
+        )
+        pages = (
+            self.annexed_slots().groupBy("page").agg(F.array_sort(F.collect_list(slot)).alias("rows"))
+            .select(
+                F.concat(F.lit("page"), text("page")).alias("id"),
+                F.concat(F.lit("Page "), text("page")).alias("name"), changed,
+                F.struct("rows").alias("slots"),
+            )
+        )
+        return regions.select(F.to_json(F.struct("*")).alias("raw_json")).union(
+            pages.select(F.to_json(F.struct("*")).alias("raw_json"))
+        ).select(F.lit("store").alias("entity"), "raw_json")
+
+    def raw_ledger_documents(self, lines: DataFrame, updated: Column) -> DataFrame:
+        """Line items as ``base`` maps them, as the documents a source would send."""
         order = ["doc_id", "doc_type", "moment", "number", "l_partkey", "l_suppkey",
                  "l_extendedprice", "l_quantity", "l_tax"]
         numbered = with_global_ids(lines, [F.col(c).asc_nulls_last() for c in order])
@@ -459,7 +501,7 @@ class SampleLedger:
             text("doc_id").alias("id"),
             text("doc_id").alias("name"),
             text("moment").alias("moment"),
-            text("moment").alias("updated"),
+            updated.alias("updated"),
             "applicable",
             F.when(~moved, ref(F.col("o_custkey"))).alias("agent"),
             F.when(~moved, store).alias("store"),
@@ -467,11 +509,21 @@ class SampleLedger:
             F.when(moved, store).alias("targetStore"),
             F.struct("rows").alias("positions"),
         )
-        documents = (
+        return (
             numbered.groupBy(*header)
             .agg(F.array_sort(F.collect_list(position)).alias("rows"))
             .select(F.col("doc_type").alias("entity"), F.to_json(body).alias("raw_json"))
         )
+
+    def edited_documents(self) -> DataFrame:
+        """Every fiftieth order re-sent later, with double quantities."""
+        lines = self.base().filter(F.col("doc_id") % 50 == 0)
+        doubled = lines.withColumn("l_quantity", 2 * F.col("l_quantity"))
+        return self.raw_ledger_documents(doubled, F.lit("2001-06-01 00:00:00"))
+
+    def raw_ledger(self) -> DataFrame:
+        """What ``base`` maps, as a source would send it: documents, directories, brands."""
+        documents = self.raw_ledger_documents(self.base(), text("moment"))
         changed = F.lit("2000-01-01 00:00:00").alias("updated")
         owners = self.items().select("depositor_id", "depositor_name", "depositor_inn").distinct()
         agents = owners.select(
@@ -513,12 +565,11 @@ class SampleLedger:
                 F.lit(entity).alias("entity"), F.to_json(F.struct(*rows.columns)).alias("raw_json")
             )
 
-        # A store is sent in pages here, so its own row comes from the one with its zones.
         return (
             documents.unionByName(objects("counterparty", agents.unionByName(customers)))
             .unionByName(objects("product", brands))
             .unionByName(objects("uom", units))
-            .unionByName(self.raw_stores())
+            .unionByName(self.raw_places())
         )
 
     def raw_audit(self) -> DataFrame:

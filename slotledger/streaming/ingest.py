@@ -1,37 +1,63 @@
 """Landed envelope files taken into the typed tables as they arrive.
 
 Structured Streaming remembers which files it has seen, so no watermark has to be
-asked from the tables. A micro-batch may be repeated after a failure; each table
-version carries the number of its batch, and a batch that is already in is passed
-over.
+asked from the tables. What decides is the change time of each key: a row or a
+document comes in if it is newer than the stored one, or not stored yet. So files
+may land in any order, a micro-batch may be repeated after a failure, and several
+streams with checkpoints of their own may feed one warehouse.
+
+A missing key is a key like others, and a missing change time is older than any.
+Objects that land twice in a batch count once. Of rows with one key and change time
+the last by all columns counts; positions of a document all do.
 """
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotledger import schemas as S
 from slotledger.operators import bronze
-from slotledger.operators.upsert import merge_by_key, replace_by_document
+from slotledger.operators.bronze import time_literal
+from slotledger.operators.upsert import EPOCH
 from slotledger.plans.pipeline import Warehouse, each_table
 from slotledger.session import cut, scratch_scope
 
-_BATCH = re.compile(r"batch(\d+)$")
 
+def _when(changed: str) -> Column:
+    return F.coalesce(changed, time_literal(EPOCH))
 
-def _last_batch(warehouse: Warehouse, name: str) -> int:
-    versions = warehouse.store.versions("bronze", name)
-    match = _BATCH.match(versions[-1][1] or "") if versions else None
-    return int(match[1]) if match else -1
 
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_new_{k}"]) for k in keys])
 
-def _latest(rows: DataFrame, keys: list[str], changed: str) -> DataFrame:
-    """Rows of the latest version of each key: a batch may hold a key several times."""
-    newest = rows.groupBy(*keys).agg(F.max(changed).alias("_newest"))
-    return rows.join(newest, keys).filter(F.col(changed) == F.col("_newest")).select(*rows.columns)
+
+def newer_keys(rows: DataFrame, existing: DataFrame | None, keys: list[str], changed: str) -> DataFrame:
+    """Keys whose latest row is newer than the stored one, as ``_new_*``, with its time ``_time``."""
+    named = [F.col(k).alias(f"_new_{k}") for k in keys]
+    latest = rows.groupBy(*named).agg(F.max(_when(changed)).alias("_time"))
+    if existing is None:
+        return latest
+    # Only stored rows of the batch's keys are looked at; a small batch is broadcast.
+    seen = existing.select(*keys, _when(changed).alias("_when"))
+    stored = seen.join(latest, _same(seen, latest, keys)).groupBy(
+        *[f"_new_{k}" for k in keys], "_time"
+    ).agg(F.max("_when").alias("_stored"))
+    old = stored.filter("_stored >= _time").select(*[F.col(f"_new_{k}").alias(k) for k in keys])
+    return latest.join(old, _same(old, latest, keys), "left_anti")
+
+
+def _latest(rows: DataFrame, fresh: DataFrame, keys: list[str], how: str, changed: str) -> DataFrame:
+    """Rows of the version that ``fresh`` names for each key."""
+    found = rows.join(fresh, _same(rows, fresh, keys) & (_when(changed) == fresh["_time"])).select(
+        *rows.columns
+    )
+    if how == "replace":
+        return found
+    one = found.groupBy(*keys).agg(F.max(F.struct(*found.columns)).alias("_row"))
+    return one.select("_row.*").select(*rows.columns)
 
 
 def take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
@@ -42,28 +68,19 @@ def take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
 
 def _take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
     store = warehouse.store
-    raw = cut(raw, f"stream-{batch_id}", by="entity")
-    tag = f"batch{batch_id}"
+    raw = cut(raw.distinct(), f"stream-{batch_id}", by="entity")
 
     def load(name: str) -> None:
-        if _last_batch(warehouse, name) >= batch_id:
-            return
         parse, keys, how, changed = bronze.TABLES[name]
-        rows = _latest(parse(raw, None), keys, changed)
-        if how == "merge":
-            rows = rows.dropDuplicates(keys)
-        if not store.exists("bronze", name):
-            store.write(rows, "bronze", name, tag)
-            return
-        batch = cut(rows, f"batch-{name}")
-        if batch.isEmpty():
-            return
-        existing = store.read("bronze", name)
-        if how == "merge":
-            merged = merge_by_key(existing, batch, keys)
-        else:
-            merged = replace_by_document(existing, batch)
-        store.write(merged, "bronze", name, tag)
+        rows = cut(parse(raw, None), f"rows-{name}")
+        existing = store.read("bronze", name) if store.exists("bronze", name) else None
+        fresh = cut(newer_keys(rows, existing, keys, changed), f"keys-{name}")
+        if existing is None:
+            store.write(_latest(rows, fresh, keys, how, changed), "bronze", name)
+        elif not fresh.isEmpty():
+            kept = existing.join(fresh, _same(existing, fresh, keys), "left_anti")
+            latest = _latest(rows, fresh, keys, how, changed)
+            store.write(kept.unionByName(latest), "bronze", name)
 
     each_table(load)
 
