@@ -3,6 +3,7 @@
 from slotledger.functions.columns import (
     as_day,
     balance_tags,
+    exact_number,
     join_text,
     last_segment,
     month_key,
@@ -14,6 +15,6 @@ from slotledger.functions.columns import (
 )
 
 __all__ = [
-    "as_day", "balance_tags", "join_text", "last_segment", "month_key", "movement_parts",
+    "as_day", "balance_tags", "exact_number", "join_text", "last_segment", "month_key", "movement_parts",
     "named_value", "nulls_last", "occupancy", "operation_tags",
 ]

@@ -1,4 +1,5 @@
-"""Column expressions: everything here stays inside generated JVM code."""
+"""Column expressions, all of them built-in. ``named_value`` uses functions over array
+elements, which Spark interprets; the rest becomes part of generated code."""
 
 from __future__ import annotations
 
@@ -24,6 +25,20 @@ def as_day(as_of: dt.date | str | Column | None) -> Column:
     return F.lit(as_of).cast("date")
 
 
+def exact_number(text: Column | str) -> Column:
+    """Text as the ledger's number type; a value it cannot hold fails the query.
+
+    A plain cast would fail on bad text and on too many digits before the point, but
+    would round digits behind it without a word.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    value = text.cast(S.NUMERIC)
+    message = F.concat(F.lit("more decimals than the ledger keeps: "), text)
+    return F.when(
+        text.cast("DECIMAL(38,18)") != value, F.raise_error(message).cast(S.NUMERIC)
+    ).otherwise(value)
+
+
 def join_text(*parts: Column | str) -> Column:
     """Concatenation in which a NULL counts as empty text."""
     return F.concat_ws("", *[F.lit(p) if isinstance(p, str) else p for p in parts])

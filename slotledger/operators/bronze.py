@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotledger import schemas as S
-from slotledger.functions import last_segment, named_value
+from slotledger.functions import exact_number, last_segment, named_value
 
 Since = dt.datetime | None
 
@@ -77,11 +77,11 @@ def products(
             "product_id": F.col("j.id"),
             "name": F.col("j.name"),
             "article": F.col("j.article"),
-            "weight": F.col("j.weight").cast(S.NUMERIC),
-            "volume": F.col("j.volume").cast(S.NUMERIC),
+            "weight": exact_number("j.weight"),
+            "volume": exact_number("j.volume"),
             "uom_id": F.col("j.uom.id"),
             "depositor_id": named_value(attributes, depositor, "id"),
-            "expected_bin_qty": named_value(attributes, bin_qty).cast(S.NUMERIC),
+            "expected_bin_qty": exact_number(named_value(attributes, bin_qty)),
         },
     )
 
@@ -143,7 +143,7 @@ def _positions(raw: DataFrame, entity: str, shape: str, since: Since) -> DataFra
         F.lit(entity).alias("doc_type"),
         "j",
         F.posexplode("j.positions.rows").alias("position", "p"),
-    ).withColumn("_quantity", F.col("p.quantity").cast(S.NUMERIC))
+    ).withColumn("_quantity", exact_number("p.quantity"))
 
 
 def _posting(raw: DataFrame, entity: str, inward: bool, since: Since) -> DataFrame:

@@ -60,6 +60,7 @@ READING_ORDER = {
 TIE_BREAK = {
     "operations": ["id"],
     "balance_daily": ["id"],
+    "balance_daily_no_slots": ["depositor_name", "open_total_balance", "close_total_balance"],
     "operation_errors": ["id_operations_with_balance__slot_item"],
     "balance_errors": ["slot_item_daily_spine_id"],
     "partner_movements": ["doc_name", "doc_type", "open_balance", "quantity"],

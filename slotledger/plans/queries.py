@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotledger import schemas as S
-from slotledger.functions import movement_parts, occupancy
+from slotledger.functions import exact_number, movement_parts, occupancy
 from slotledger.operators import billing, bronze, ledger, marts, quality, spine, upsert
 from slotledger.operators.bronze import time_literal
 from slotledger.plans.oracle import DAILY, on_both, on_ledger, on_operations, on_spine
@@ -266,12 +266,12 @@ def slots_used_monthly(sample):
 
 @query(on_operations(f"SELECT {', '.join(marts.OPERATIONS_COLUMNS)} FROM opsb"))
 def mart_operations(sample):
-    return marts.operations_mart(sample.operations_with_balance())
+    return marts.ordered(marts.operations_mart(sample.operations_with_balance()), "operations")
 
 
 @query(on_spine(f"SELECT {', '.join(marts.BALANCE_DAILY_COLUMNS)} FROM spine"))
 def mart_balance_daily(sample):
-    return marts.balance_daily(_spine(sample))
+    return marts.ordered(marts.balance_daily(_spine(sample)), "balance_daily")
 
 
 _NO_SLOTS = on_spine("""
@@ -287,7 +287,8 @@ FROM spine GROUP BY item_id, moment_day""")
 def mart_balance_no_slots(sample):
     daily = _stored_daily(sample)
     intervals = cut(spine.balance_intervals(daily, AS_OF), "intervals")
-    return marts.balance_daily_no_slots_from_intervals(daily, intervals, sample.items(), AS_OF)
+    rows = marts.balance_daily_no_slots_from_intervals(daily, intervals, sample.items(), AS_OF)
+    return marts.ordered(rows, "balance_daily_no_slots")
 
 
 @query(_NO_SLOTS)
@@ -306,7 +307,9 @@ SELECT depositor_name, depositor_inn, article, item_name, product, lot, mfg_date
        close_total_balance AS close_balance
 FROM opsb WHERE doc_type <> 'move'"""))
 def mart_partner_movements(sample):
-    return marts.partner_movements(sample.operations_with_balance())
+    return marts.ordered(
+        marts.partner_movements(sample.operations_with_balance()), "partner_movements"
+    )
 
 
 @query(on_operations("""
@@ -590,7 +593,7 @@ def json_extract(sample):
     return events.select(
         "event_id",
         F.col("j.k").alias("k"),
-        F.col("j.k").cast(S.NUMERIC).cast("double").alias("k_number"),
+        exact_number("j.k").cast("double").alias("k_number"),
         F.col("j.missing.id").alias("nothing"),
     )
 
@@ -856,6 +859,36 @@ def stream_ingest(sample):
     )
 
 
+@query("""
+SELECT CAST(user_id AS VARCHAR) AS agent_id, event_type AS name, CAST(event_id AS VARCHAR) AS inn,
+       ts AS updated
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+      FROM events) last_of_user
+WHERE rn = 1""")
+def stream_any_order(sample):
+    """Each event as a new version of its user, landed in parts that overlap in time and taken
+    in by two streams with checkpoints of their own: the newest version stays."""
+    landing = scratch_path(sample.spark, "stream")
+    # Versions of one user at one time are one object here, as a source would have it.
+    last = F.struct(text("ts").alias("updated"), "event_id", "event_type")
+    versions = sample.table("events").groupBy("user_id", "ts").agg(
+        F.max(F.struct("event_id", last.alias("last"))).alias("v")
+    )
+    body = F.struct(
+        text("user_id").alias("id"),
+        F.col("v.last.event_type").alias("name"),
+        text("v.event_id").alias("inn"),
+        F.col("v.last.updated").alias("updated"),
+    )
+    parts = [versions.filter(F.col("v.event_id") % 3 == part) for part in (2, 0, 1)]
+    warehouse = Warehouse(sample.spark, scratch_path(sample.spark, "warehouse"), AS_OF)
+    checkpoints = [scratch_path(sample.spark, "state") for _ in range(2)]
+    for rows, checkpoint in zip(parts, [checkpoints[0], checkpoints[0], checkpoints[1]]):
+        tag(rows.select(F.to_json(body).alias("raw_json")), "counterparty").write.mode("append").json(landing)
+        ingest_stream(warehouse, landing, checkpoint).awaitTermination()
+    return warehouse.table("bronze", "agents")
+
+
 _EDITED = on_ledger("SELECT 0").split("\nSELECT 0")[0].replace(
     "SELECT l.*, p.p_brand",
     "SELECT l.* REPLACE (IF(l_orderkey % 50 = 0, 2, 1) * l_quantity AS l_quantity), p.p_brand",

@@ -202,3 +202,18 @@ def test_audit_contexts_to_events(spark, rows):
     df = raw(spark, ("audit_deleted", body), ("audit_restored", body))
     assert rows(bronze.audit_deleted(df)) == [("d1", "demand", "puttorecyclebin", "N", MOMENT)]
     assert bronze.audit_restored(df, MOMENT).isEmpty()
+
+
+def test_numbers_that_do_not_fit_fail_the_load(spark):
+    from pyspark.sql import functions as F
+
+    from slotledger.functions import exact_number
+
+    def parsed(text):
+        return spark.createDataFrame([(text,)], "t string").select(exact_number(F.col("t")).alias("n")).first().n
+
+    assert str(parsed("1.123456")) == "1.123456" and str(parsed("-1e2")) == "-100.000000"
+    assert str(parsed("1.12345600")) == "1.123456" and parsed(None) is None
+    for text in ("1.1234567", "abc", "1e20"):
+        with pytest.raises(Exception):
+            parsed(text)

@@ -329,3 +329,49 @@ def test_a_repeated_batch_is_passed_over(spark, tmp_path, rows):
     source.document("demand", "o1", at(4), position("v1", 9, "s1"), updated=at(8))
     take_in(warehouse, source.frame(spark), 1)
     assert rows(warehouse.table("bronze", "demand"), "quantity") == [(-9,)]
+
+
+def test_an_older_file_does_not_overwrite(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path), AS_OF)
+
+    def agents(*versions):
+        body = [(f'{{"id": "{i}", "name": "{n}"' + (f', "updated": "{u}"' if u else "") + "}",) for i, n, u in versions]
+        return tag(spark.createDataFrame(body, "raw_json string"), "counterparty")
+
+    take_in(warehouse, agents(("a", "new", at(9)), ("b", "undated", None), ("c", "x", at(1)), ("c", "y", at(1))), 0)
+    take_in(warehouse, agents(("a", "old", at(2)), ("b", "dated", at(1)), ("d", "first", None), ("d", "first", None)), 0)
+    take_in(warehouse, agents(("b", "undated again", None), ("d", "late", None)), 1)
+    found = rows(warehouse.table("bronze", "agents"), "agent_id", "name")
+    assert found == [("a", "new"), ("b", "dated"), ("c", "y"), ("d", "first")]
+
+
+def test_missing_keys_are_kept_once(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path), AS_OF)
+    event = '{"doc_id": null, "entity_type": "demand", "event_type": "puttorecyclebin", "name": "%s", "moment": %s}'
+
+    def deletions(*events):
+        return tag(spark.createDataFrame([(event % e,) for e in events], "raw_json string"), "audit_deleted")
+
+    take_in(warehouse, deletions(("1", "null"), ("2", '"2024-01-01 00:00:00"')), 0)
+    take_in(warehouse, deletions(("3", "null"), ("4", '"2024-01-01 00:00:00"'), ("5", '"2024-01-02 00:00:00"')), 1)
+    assert rows(warehouse.table("bronze", "audit_deleted"), "name") == [("1",), ("2",), ("5",)]
+
+
+def test_a_second_checkpoint_loses_nothing(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path / "w"), AS_OF)
+    source, landing = first_day(), str(tmp_path / "in")
+    for day, state in enumerate(("one", "one", "two")):
+        if day:
+            source.document("demand", f"late{day}", at(4), position("v1", 1, "s1"), updated=at(8 + day))
+        source.frame(spark).coalesce(1).write.mode("append").json(landing)
+        ingest_stream(warehouse, landing, str(tmp_path / state)).awaitTermination()
+    found = rows(warehouse.table("bronze", "demand").select("doc_id").distinct())
+    assert {("late1",), ("late2",)} <= set(found)
+    assert warehouse.table("bronze", "demand").groupBy("doc_id", "position").count().filter("count > 1").isEmpty()
+
+
+def test_a_first_load_with_a_key_twice_is_refused(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), AS_OF)
+    raw = tag(spark.createDataFrame([('{"id": "a", "name": "x"}',), ('{"id": "a", "name": "y"}',)], "raw_json string"), "uom")
+    with pytest.raises(ValueError, match="more than once"):
+        warehouse.load_table(raw, "uoms")
