@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotledger.llm.mincut import label
+from slotledger.llm.support import slices
 
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*)>"""
@@ -201,7 +202,7 @@ def main_text(page: str) -> str:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         texts = [main_text(page) for page in batch.column("_html").to_pylist()]
         kept = [n for n in batch.schema.names if n != "_html"]
         yield pa.RecordBatch.from_arrays(

@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from slotledger.llm.support import text_or_empty
-from slotledger.llm.tokens import encode_texts
+from slotledger.llm.support import slices, text_or_empty
+from slotledger.llm.tokens import SLICE_TEXTS, encode_texts
 
 MAX_TOKENS, MAX_SEGMENTS = 4096, 256
 POOL = 256  # examples the heuristic chooses from
@@ -203,7 +203,7 @@ def _tokenized(path: str, end_id: int, drops_spaces: bool):
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[_Example]:
         end = array.array("I", [end_id]).tobytes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, SLICE_TEXTS)):
             keys = iter(batch.column("_id").to_pylist())
             for some in encode_texts(batch.column("_text").to_pylist(), path, drops_spaces):
                 for packed in some:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotledger.llm.components import roots
-from slotledger.llm.support import bounded, text_or_empty
+from slotledger.llm.support import bounded, slices, text_or_empty
 from slotledger.session import cut
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -75,7 +75,7 @@ def fingerprints(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("_text").cast(pa.binary()).to_pylist()
+            texts = (t for part in slices(batch) for t in part.column("_text").cast(pa.binary()).to_pylist())
             prints = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array(prints.view(np.int64))], names=["_id", "_print"]

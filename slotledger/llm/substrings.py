@@ -16,7 +16,7 @@ three passes below read a block where it lies and shuffle no text:
    range, and come back as one bit per key;
 3. each block drops the covered words.
 
-A block is a bucket of that table. For more than 100,000 of them, about 800 GB of text,
+A block is a bucket of that table. For more than 100,000 of them, about 400 GB of text,
 raise ``BLOCK_BYTES``, or Spark's own limit ``spark.sql.sources.bucketing.maxBuckets``.
 
 The sketch grows with the input (``CELLS`` cells a window and row) and is spread
@@ -45,7 +45,7 @@ from slotledger.llm.words import SPACED, mix, rolling, text_buffer, whole_runs,
 from slotledger.session import cut, scratch_path
 
 WINDOW = 35
-BLOCK_BYTES = 8 << 20  # of text, on average
+BLOCK_BYTES = 4 << 20  # of text, on average
 CELLS = 8  # cells of the sketch per window and row
 ROWS = 2  # independent rows of the sketch
 SEGMENT_BITS = 24  # a segment of the sketch has 2**24 cells
@@ -72,17 +72,20 @@ def _unbits(packed: bytes, count: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8), count=count).astype(bool)
 
 
-def _windows(texts: pa.ChunkedArray, window: int) -> tuple[list, np.ndarray, np.ndarray]:
-    """Word slices of a block, and first and second lane of all its windows in order."""
-    slices, lanes = [], ([], [])
+def _slices(texts: pa.ChunkedArray, window: int) -> Iterator[tuple]:
+    """Chunk, words and the places where whole windows start, slice by slice."""
     for chunk in texts.chunks:
         for words in words_of(chunk, SPACED):
-            inside = whole_runs(words.bounds, window)
-            slices.append((chunk, words, inside))
-            for lane, base in zip(lanes, _LANES):
-                lane.append(rolling(words.hashes, window, base)[inside])
-    none = [np.zeros(0, np.uint64)]
-    return slices, *(np.concatenate(lane or none) for lane in lanes)
+            yield chunk, words, whole_runs(words.bounds, window)
+
+
+def _windows(texts: pa.ChunkedArray, window: int, lanes: int) -> list[np.ndarray]:
+    """The first ``lanes`` lanes of all windows of a block, in order."""
+    found: list[list] = [[np.zeros(0, np.uint64)] for _ in range(lanes)]
+    for _, words, inside in _slices(texts, window):
+        for lane, base in zip(found, _LANES):
+            lane.append(rolling(words.hashes, window, base)[inside])
+    return [np.concatenate(lane) for lane in found]
 
 
 def _cells(first: np.ndarray, row: int, segments: int) -> np.ndarray:
@@ -106,7 +109,7 @@ def _sketch(window: int, rows: int, segments: int):
     def run(block: pa.Table) -> pa.Table:
         out = []
         number = block.column("block")[0].as_py()
-        _, first, _ = _windows(block.column("text"), window)
+        (first,) = _windows(block.column("text"), window, 1)
         for row in range(rows):
             cells, counts = np.unique(_cells(first, row, segments), return_counts=True)
             low = (cells & np.uint64((1 << SEGMENT_BITS) - 1)).astype(np.uint32)
@@ -190,7 +193,7 @@ def _emit_keys(window: int, rows: int, segments: int):
         out = []
         if block.num_rows:
             number = block.column("block")[0].as_py()
-            _, first, second = _windows(block.column("text"), window)
+            first, second = _windows(block.column("text"), window, 2)
             chosen = _candidates(first, again, rows, segments)
             a, b, counts, _, _ = _distinct_keys(first, second, chosen)
             for segment, part in _ranges(a, segments):
@@ -243,7 +246,7 @@ def _keep(window: int, rows: int, segments: int, columns: list[str], respace: bo
     def run(block: pa.Table, again: pa.Table) -> pa.Table:
         sketch = again.filter(pc.greater_equal(again.column("row"), 0))
         exact = again.filter(pc.less(again.column("row"), 0))
-        slices, first, second = _windows(block.column("text"), window)
+        first, second = _windows(block.column("text"), window, 2)
         repeated = np.zeros(len(first), dtype=bool)
         chosen = _candidates(first, sketch, rows, segments) if block.num_rows else repeated
         a, _, _, picked, places = _distinct_keys(first, second, chosen)
@@ -253,8 +256,9 @@ def _keep(window: int, rows: int, segments: int, columns: list[str], respace: bo
             confirmed[part] = _unbits(bits[segment], part.stop - part.start)
         repeated[picked] = confirmed[places]
 
+        del first, second
         counts, removed, kept, at = [], [], [], 0
-        for chunk, words, inside in slices:
+        for chunk, words, inside in _slices(block.column("text"), window):
             data, offsets = text_buffer(chunk)
             here = int(inside.sum())
             gone = _covered(words, inside, repeated[at : at + here], window)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,12 @@ def once_per_worker(key: Any, make: Callable[[], Any]) -> Any:
     return values[key]
 
 
+def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """A batch in small parts, so that few of its texts are Python objects at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether a table has at most ``max_rows`` rows; reads no more than it must."""
     return df.limit(max_rows + 1).count() <= max_rows

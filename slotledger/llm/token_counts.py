@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotledger.llm.support import text_or_empty
+from slotledger.llm.support import slices, text_or_empty
 from slotledger.llm.tokens import load
 from slotledger.session import cut
 
@@ -87,8 +87,9 @@ def _vocabulary(pattern: str, path: str):
             return found
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(split(text))
+            for part in slices(batch):
+                for text in part.column(0).to_pylist():
+                    counts.update(split(text))
                 if len(counts) > _DISTINCT:
                     yield flush()
         yield flush()
@@ -125,7 +126,7 @@ def _frequencies(pattern: str, path: str, head):
         split = _splitter(pattern, _special_tokens(path))
         known = _Known(head.value)
         pieces = known.__getitem__
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             sizes, tokens, rare, times = [], [], [], []
             for text in batch.column("_text").to_pylist():
                 own = split(text)

@@ -11,7 +11,7 @@ import numpy as np
 
 from slotledger.llm.support import once_per_worker
 
-CACHE_WORDS = 800_000  # about 200 MB; once full, new words are kept for one slice only
+CACHE_WORDS = 600_000  # about 150 MB; once full, new words are kept for one slice only
 SLICE_TEXTS = 1024
 _TAILS = (".", ",")
 # Letters that keep being one letter in lower case.
