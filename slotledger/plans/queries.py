@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotledger import schemas as S
@@ -16,6 +18,7 @@ from slotledger.plans.pipeline import Warehouse
 from slotledger.plans.sample_ledger import AS_OF, SampleLedger, text
 from slotledger.session import cut, scratch_path
 from slotledger.sources.raw import read_landing, tag
+from slotledger.sources.tables import TableStore
 from slotledger.streaming import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -291,6 +294,41 @@ def mart_balance_no_slots(sample):
     return marts.ordered(rows, "balance_daily_no_slots")
 
 
+@query(on_spine("""
+SELECT item_name, strftime(moment_day, '%Y-%m') AS moment_month, CAST(COUNT(*) AS BIGINT) AS days,
+       SUM(real_quantity) AS real_quantity
+FROM (SELECT MAX(item_name) AS item_name, moment_day, SUM(real_in + real_out) AS real_quantity
+      FROM spine GROUP BY item_id, moment_day) v
+GROUP BY item_name, strftime(moment_day, '%Y-%m')"""))
+def published_view(sample):
+    """The rollup published as a view, stored nowhere, and read by its name."""
+    daily = _stored_daily(sample)
+    intervals = cut(spine.balance_intervals(daily, AS_OF), "intervals")
+    rows = marts.balance_daily_no_slots_from_intervals(daily, intervals, sample.items(), AS_OF)
+    store = TableStore(sample.spark, scratch_path(sample.spark, "warehouse"))
+    store.view(rows, "warehouse_balance_daily_no_slots")
+    return sample.spark.sql(
+        "SELECT item_name, date_format(moment_day, 'yyyy-MM') AS moment_month, COUNT(*) AS days, "
+        "SUM(real_quantity) AS real_quantity FROM warehouse_balance_daily_no_slots GROUP BY ALL"
+    )
+
+
+@query(on_spine("""
+, changes AS (
+  SELECT store_id, slot_id, item_id, moment_day, real_out,
+         SUM(quantity) OVER (PARTITION BY store_id, slot_id, item_id ORDER BY moment_day) AS balance,
+         LEAD(moment_day) OVER (PARTITION BY store_id, slot_id, item_id ORDER BY moment_day) AS following
+  FROM daily)
+SELECT store_id, slot_id, item_id, moment_day AS first_day, balance AS close_slot_balance,
+       CASE WHEN balance = 0 THEN moment_day ELSE coalesce(following - 1, current_date) END AS last_day
+FROM changes WHERE balance <> 0 OR real_out <> 0"""))
+def balances_to_today(sample):
+    """Without a reporting day, balances stand until the day of the clock."""
+    return spine.balance_intervals(_stored_daily(sample)).select(
+        *S.GRAIN, "first_day", "last_day", "close_slot_balance"
+    )
+
+
 @query(_NO_SLOTS)
 def mart_balance_no_slots_from_spine(sample):
     return marts.balance_daily_no_slots(_spine(sample))
@@ -829,6 +867,106 @@ def audit_two_level(sample):
     return status.select("doc_id", "status")
 
 
+@query(f"""
+WITH parsed AS (
+  SELECT CASE event_type WHEN 'error' THEN 'audit_deleted' ELSE 'audit_restored' END AS side,
+         CAST(user_id AS VARCHAR) AS doc_id, 'order' AS entity_type,
+         CASE event_type WHEN 'error' THEN 'puttorecyclebin'
+                         ELSE 'restorefromrecyclebin' END AS event_type,
+         CAST(event_id AS VARCHAR) AS name, ts AS moment
+  FROM events WHERE event_type IN ('error', 'signup'))
+SELECT 'all' AS part, * FROM parsed
+UNION ALL SELECT 'new', * FROM parsed WHERE moment > TIMESTAMP '{CUTOVER}'""")
+def audit_parsers(sample):
+    """Landed audit events typed by both parsers, all of them and those above a watermark."""
+    raw = cut(sample.raw_audit(), "raw", by="entity")
+    since = dt.datetime.fromisoformat(CUTOVER)
+    parts = [
+        parse(raw, bound).select(F.lit(part).alias("part"), F.lit(side).alias("side"), "*")
+        for side, parse in (("audit_deleted", bronze.audit_deleted), ("audit_restored", bronze.audit_restored))
+        for part, bound in (("all", None), ("new", since))
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(f"""
+SELECT 'slot' AS kind, CAST(s_suppkey AS VARCHAR) AS id, CAST(n_regionkey AS VARCHAR) AS store_id,
+       TIMESTAMP '2000-01-01' + to_days(CAST(s_suppkey % 60 AS INTEGER)) AS updated
+FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_suppkey % 60 > 31
+UNION ALL
+SELECT 'zone', CAST(n_nationkey AS VARCHAR), CAST(n_regionkey AS VARCHAR), TIMESTAMP '2000-01-01'
+FROM nation WHERE n_regionkey * 20 > 31""")
+def nested_watermark(sample):
+    """Objects inside stores above a watermark: a slot's own change time counts, a zone's store's."""
+
+    def day(number: Column) -> Column:
+        return text(F.date_add(F.lit("2000-01-01").cast("date"), number.cast("int")))
+
+    raw = sample.raw_stores(day(F.col("r_regionkey") * 20), day(F.col("s_suppkey") % 60))
+    since = dt.datetime(2000, 2, 1)
+    slots = bronze.slots(raw, since).select(
+        F.lit("slot").alias("kind"), F.col("slot_id").alias("id"), "store_id", "updated"
+    )
+    return slots.unionByName(
+        bronze.zones(raw, since).select(
+            F.lit("zone").alias("kind"), F.col("zone_id").alias("id"), "store_id", "updated"
+        )
+    )
+
+
+@query(f"""
+SELECT entity, CAST(COUNT(*) AS BIGINT) AS objects, CAST(0 AS BIGINT) AS before_first_run,
+       MIN(ts) AS first_moment
+FROM (SELECT CASE event_type WHEN 'error' THEN 'audit_deleted' ELSE 'audit_restored' END AS entity, ts
+      FROM events WHERE event_type IN ('error', 'signup')) fetched
+WHERE ts >= (SELECT MAX(ts) + INTERVAL 1 MILLISECOND FROM events
+             WHERE event_type IN ('error', 'signup') AND ts < TIMESTAMP '{CUTOVER}')
+GROUP BY entity""")
+def cross_layer_watermark(sample):
+    """The audit is fetched from the latest change in silver on, and not at all before there is one."""
+    warehouse = Warehouse(sample.spark, scratch_path(sample.spark, "warehouse"), AS_OF)
+    audit = sample.raw_audit()
+    cold = warehouse.select_new(audit).count()
+    seen = sample.audit_events().filter(f"moment < TIMESTAMP_NTZ '{CUTOVER}'")
+    warehouse.store.write(seen.withColumnRenamed("moment", "updated"), "silver", "operations_filtered")
+    happened = F.get_json_object("raw_json", "$.moment").cast(S.TIME)
+    return (
+        warehouse.select_new(audit)
+        .groupBy("entity")
+        .agg(F.count("*").alias("objects"), F.min(happened).alias("first_moment"))
+        .withColumn("before_first_run", F.lit(cold).cast("bigint"))
+    )
+
+
+def _customers(sample: SampleLedger, changed: str) -> DataFrame:
+    """Customers as counterparties last changed at one time."""
+    body = F.struct(
+        text("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("inn"), F.lit(changed).alias("updated"),
+    )
+    return tag(sample.table("customer").select("*", F.to_json(body).alias("raw_json")), "counterparty")
+
+
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS agent_id, 'incremental' AS load, TIMESTAMP '2000-01-02' AS updated
+FROM customer
+UNION ALL
+SELECT CAST(c_custkey AS VARCHAR), 'full refresh', TIMESTAMP '2000-01-01'
+FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def full_refresh(sample):
+    """An older, smaller batch after a whole one: a load adds nothing of it, a refresh keeps it alone."""
+    warehouse = Warehouse(sample.spark, scratch_path(sample.spark, "warehouse"), AS_OF)
+    building = F.get_json_object("raw_json", "$.inn") == "BUILDING"
+    older = _customers(sample, "2000-01-01 00:00:00").filter(building)
+    loads = []
+    warehouse.load_table(_customers(sample, "2000-01-02 00:00:00"), "agents")
+    for refresh, load in ((False, "incremental"), (True, "full refresh")):
+        warehouse.load_table(older, "agents", full_refresh=refresh)
+        stored = warehouse.table("bronze", "agents")
+        loads.append(cut(stored.select("agent_id", F.lit(load).alias("load"), "updated"), load.split()[0]))
+    return loads[0].unionByName(loads[1])
+
+
 # --- whole runs ------------------------------------------------------------
 
 @query("SELECT entity, CAST(COUNT(*) AS BIGINT) AS objects FROM (" + """
@@ -847,6 +985,20 @@ def landing_union(sample):
     return raw.groupBy("entity").agg(F.count("raw_json").alias("objects"))
 
 
+@query("""
+SELECT 'counterparty' AS entity, CAST(COUNT(*) AS BIGINT) AS objects, 'true, false, false' AS landed
+FROM customer""")
+def landing_empty(sample):
+    """A batch landed, then one in which nothing is new, then one without rows: the first stays."""
+    warehouse = Warehouse(sample.spark, scratch_path(sample.spark, "warehouse"), AS_OF)
+    objects = _customers(sample, "2000-01-01 00:00:00")
+    landed = [warehouse.land(objects)]
+    warehouse.load_table(warehouse.table("raw", "raw"), "agents")
+    landed += [warehouse.land(objects), warehouse.land(objects.filter("entity = 'none'"))]
+    raw = warehouse.table("raw", "raw").groupBy("entity").agg(F.count("raw_json").alias("objects"))
+    return raw.withColumn("landed", F.lit(", ".join(str(done).lower() for done in landed)))
+
+
 @query(_DOCUMENT_SQL)
 def stream_ingest(sample):
     """The JSON documents arriving as files, taken in by a stream into the typed tables."""

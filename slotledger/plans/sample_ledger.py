@@ -276,13 +276,21 @@ class SampleLedger:
         )
         return documents.select(F.col("kind").alias("entity"), F.to_json(body).alias("raw_json"))
 
-    def raw_stores(self) -> DataFrame:
-        """Regions as stores with nations as zones and suppliers as slots, in pages."""
+    def raw_stores(
+        self, store_changed: Column | None = None, slot_changed: Column | None = None
+    ) -> DataFrame:
+        """Regions as stores with nations as zones and suppliers as slots, in pages.
+
+        Change times may be given from the columns of ``region`` and of ``supplier``.
+        """
+        first = F.lit("2000-01-01 00:00:00")
+        store_changed = first if store_changed is None else store_changed
+        slot_changed = first if slot_changed is None else slot_changed
         nations = self.table("nation")
         slot = F.struct(
             text("s_suppkey").alias("id"),
             F.col("s_name").alias("name"),
-            F.lit("2000-01-01 00:00:00").alias("updated"),
+            slot_changed.alias("updated"),
             F.struct(text("n_nationkey").alias("id")).alias("zone"),
         )
         page = F.floor(F.col("s_suppkey") / POSITIONS_PER_PAGE)
@@ -295,7 +303,7 @@ class SampleLedger:
         zone = F.struct(
             text("n_nationkey").alias("id"),
             F.col("n_name").alias("name"),
-            F.lit("2000-01-01 00:00:00").alias("updated"),
+            first.alias("updated"),
         )
         # Nations are a fixed list of 25, so a region's zones stay few.
         zones = nations.groupBy("n_regionkey").agg(
@@ -305,7 +313,7 @@ class SampleLedger:
         head = [
             text("r_regionkey").alias("id"),
             F.col("r_name").alias("name"),
-            F.lit("2000-01-01 00:00:00").alias("updated"),
+            store_changed.alias("updated"),
         ]
         with_zones = regions.join(zones, "n_regionkey").select(
             F.to_json(F.struct(*head, F.struct(F.col("zones").alias("rows")).alias("zones"))).alias(
