@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from slotledger import schemas as S
 from slotledger.functions import join_text, movement_parts, nulls_last, operation_tags
 from slotledger.operators.ids import with_global_ids
+from slotledger.operators.joins import left_join_known
 from slotledger.operators.running import HOT_ROWS, heavy_groups, running_sums
 from slotledger.session import cut
 
@@ -195,19 +196,20 @@ def enrich_operations(
     """Attach item, slot, agent and store attributes.
 
     The sizes of the directories decide between broadcast and shuffle; hot keys
-    of a shuffled join are split at run time.
+    of a shuffled join are split at run time, and rows without a slot or an agent spread.
     """
+    named = operations.withColumnRenamed("number", "doc_name").join(
+        items.drop("id", "updated").withColumnRenamed("name", "item_name"), "item_id", "left"
+    )
+    placed = left_join_known(
+        named, slots.select("slot_id", "slot_name", "zone_name"), ["slot_id"],
+        F.col("slot_id") != S.OFF_SLOT, ["id"],
+    )
+    partners = agents.select(
+        "agent_id", F.col("name").alias("agent_name"), F.col("inn").alias("agent_inn")
+    )
     return (
-        operations.withColumnRenamed("number", "doc_name")
-        .join(items.drop("id", "updated").withColumnRenamed("name", "item_name"), "item_id", "left")
-        .join(slots.select("slot_id", "slot_name", "zone_name"), "slot_id", "left")
-        .join(
-            agents.select(
-                "agent_id", F.col("name").alias("agent_name"), F.col("inn").alias("agent_inn")
-            ),
-            "agent_id",
-            "left",
-        )
+        left_join_known(placed, partners, ["agent_id"], F.lit(True), ["id"])
         .join(stores.select("store_id", F.col("name").alias("store_name")), "store_id", "left")
         .withColumn("slot_name", F.coalesce("slot_name", F.lit(S.OFF_SLOT)))
         .withColumn("zone_name", F.coalesce("zone_name", F.lit(S.OFF_ZONE)))

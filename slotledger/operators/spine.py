@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from slotledger import schemas as S
 from slotledger.functions import as_day, balance_tags, nulls_last, occupancy
 from slotledger.operators.ids import with_global_starts
+from slotledger.operators.joins import left_join_known
 from slotledger.session import cut
 
 Day = dt.date | str | Column | None
@@ -220,9 +221,12 @@ def item_totals_by_month(totals: DataFrame) -> DataFrame:
 def month_tiles(daily: DataFrame, intervals: DataFrame, as_of: Day = None) -> DataFrame:
     """Intervals clipped to months, with that month's slot counts and item totals."""
     tiles = by_month(intervals)
-    return tiles.join(
-        slot_item_counts(tiles), ["store_id", "slot_id", "month"], "left"
-    ).join(item_totals_by_month(item_totals(daily, as_of)), ["item_id", "month"], "left")
+    counted = left_join_known(
+        tiles, slot_item_counts(tiles), ["store_id", "slot_id", "month"],
+        F.col("slot_id") != S.OFF_SLOT, ["item_id", "from_day"],
+    )
+    totals = item_totals_by_month(item_totals(daily, as_of))
+    return counted.join(totals, ["item_id", "month"], "left")
 
 
 def unfold(tiles: DataFrame) -> DataFrame:
@@ -260,17 +264,20 @@ def enrich_tiles(
     tiles: DataFrame, items: DataFrame, slots: DataFrame, stores: DataFrame
 ) -> DataFrame:
     """Attach attributes while a row still stands for up to a month of days."""
+    named = tiles.join(
+        items.select(
+            "item_id", "depositor_id", F.col("name").alias("item_name"), "depositor_inn",
+            "depositor_name", "article", "product", "lot", "mfg_date", "expected_bin_qty",
+        ),
+        "item_id",
+        "left",
+    )
+    placed = left_join_known(
+        named, slots.select("slot_id", "slot_name", "zone_name"), ["slot_id"],
+        F.col("slot_id") != S.OFF_SLOT, ["item_id", "from_day"],
+    )
     return (
-        tiles.join(
-            items.select(
-                "item_id", "depositor_id", F.col("name").alias("item_name"), "depositor_inn",
-                "depositor_name", "article", "product", "lot", "mfg_date", "expected_bin_qty",
-            ),
-            "item_id",
-            "left",
-        )
-        .join(slots.select("slot_id", "slot_name", "zone_name"), "slot_id", "left")
-        .join(stores.select("store_id", F.col("name").alias("store_name")), "store_id", "left")
+        placed.join(stores.select("store_id", F.col("name").alias("store_name")), "store_id", "left")
         .withColumn("slot_name", F.coalesce("slot_name", F.lit(S.OFF_SLOT)))
         .withColumn("zone_name", F.coalesce("zone_name", F.lit(S.OFF_ZONE)))
     )
@@ -297,6 +304,11 @@ def read_spine(tiles: DataFrame, first_day: Day = None, last_day: Day = None) ->
 
     The day bounds also skip whole months and tiles, before any of them unfolds.
     """
+    return _spine_rows(_within(tiles, first_day, last_day)).select(*SPINE_COLUMNS)
+
+
+def _within(tiles: DataFrame, first_day: Day, last_day: Day) -> DataFrame:
+    """Tiles clipped to some days."""
     if first_day is not None:
         tiles = tiles.filter(F.col("month") >= F.trunc(as_day(first_day), "MM"))
         tiles = tiles.filter(F.col("to_day") >= as_day(first_day))
@@ -305,11 +317,32 @@ def read_spine(tiles: DataFrame, first_day: Day = None, last_day: Day = None) ->
         tiles = tiles.filter(F.col("month") <= as_day(last_day))
         tiles = tiles.filter(F.col("from_day") <= as_day(last_day))
         tiles = tiles.withColumn("to_day", F.least("to_day", as_day(last_day)))
-    rows = unfold(tiles)
+    return tiles
+
+
+def _spine_rows(tiles: DataFrame) -> DataFrame:
     tags = balance_tags(
         F.col("items_in_slot"), F.col("close_slot_balance"), F.col("expected_bin_qty")
     )
-    return rows.withColumn("slot_balance_errors", tags).select(*SPINE_COLUMNS)
+    return unfold(tiles).withColumn("slot_balance_errors", tags)
+
+
+def spine_days(tiles: DataFrame, days: DataFrame) -> DataFrame:
+    """Spine rows of the grains and days listed, beside the other columns of ``days``.
+
+    Each listed day meets the tile it lies in and only that day of it unfolds: the
+    same rows as a join with the whole grid, without the grid. ``days`` may not hold
+    a grain's day twice.
+    """
+    listed = days.withColumn("month", F.trunc("moment_day", "MM")).withColumnRenamed(
+        "moment_day", "_day"
+    )
+    met = tiles.join(listed, [*S.GRAIN, "month"]).filter(
+        F.col("_day").between(F.col("from_day"), F.col("to_day"))
+    )
+    clipped = met.withColumns({"from_day": F.col("_day"), "to_day": F.col("_day")}).drop("_day")
+    shown = [c for c in days.columns if c not in SPINE_COLUMNS]
+    return _spine_rows(clipped).select(*SPINE_COLUMNS, *shown)
 
 
 def last_anomalous_day() -> Column:

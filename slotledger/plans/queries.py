@@ -397,7 +397,7 @@ UNION ALL SELECT 'spine_unused_rows', COUNT(*) FROM s WHERE is_used = 0"""
 @query(on_spine("SELECT * FROM (WITH s AS (SELECT * FROM spine) " + _SPINE_CHECK_SQL + ") c"))
 def dq_spine_invariants(sample):
     """The checks hold on the real spine: every count is zero."""
-    return quality.spine_counts(spine.read_spine(cut(_tiles(sample), "tiles")), AS_OF)
+    return quality.tile_counts(cut(_tiles(sample), "tiles"), AS_OF)
 
 
 @query(on_spine("""
@@ -476,15 +476,14 @@ def dq_reconcile_layers(sample):
     tiles = spine.spine_tiles(
         operations, sample.items(), sample.slots(), sample.stores(), AS_OF
     )
-    rows = spine.read_spine(cut(tiles, "tiles"))
-    real = operations.filter("doc_type != 'move'")
+    shipped = F.when(F.col("doc_type") != "move", F.col("quantity"))
     joined = quality.rule_counts(
-        quality.spine_with_operations(rows, operations), quality.RECONCILIATION_RULES
+        quality.tiles_with_operations(cut(tiles, "tiles"), operations, {"shipped": shipped}),
+        {**quality.RECONCILIATION_RULES, "shipments_only": "spine_qty != shipped"},
     )
     others = quality.violations(
         {
             "filtered_within_all": quality.filtered_within_all(filtered, everything),
-            "shipments_only": quality.spine_quantity_reconciles(rows, real),
             "partners_match": quality.partners_match_operations(
                 marts.partner_movements(operations), operations
             ),

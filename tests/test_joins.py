@@ -1,0 +1,34 @@
+from pyspark.sql import functions as F
+
+from slotledger.operators.joins import left_join_known
+
+
+def frames(spark):
+    rows = spark.range(4000).select(
+        "id", F.when(F.col("id") % 4 == 0, "off").when(F.col("id") % 4 == 1, F.concat(F.lit("s"), F.col("id") % 8)).alias("slot")
+    )
+    listed = spark.createDataFrame([("s1", "one"), ("off", "never"), (None, "none")], "slot STRING, name STRING")
+    return rows, listed
+
+
+def test_known_rows_meet_and_others_stay(spark):
+    rows, listed = frames(spark)
+    got = left_join_known(rows, listed, ["slot"], F.col("slot") != "off", ["id"])
+    assert got.columns == ["id", "slot", "name"]
+    want = rows.withColumn("name", F.when(F.col("slot") == "s1", "one"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_rows_that_cannot_match_are_spread(spark):
+    rows, listed = frames(spark)
+    joined = left_join_known(
+        rows, listed.hint("shuffle_merge"), ["slot"], F.col("slot") != "off", ["id"]
+    )
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "hashpartitioning(_key" in plan
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep partitions as they are dealt
+    try:
+        sizes = joined.filter("slot = 'off' OR slot IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 2 * min(r["count"] for r in sizes)
