@@ -120,28 +120,53 @@ def daily_balances_dense(daily: DataFrame, as_of: Day = None) -> DataFrame:
     )
 
 
-def balance_intervals(daily: DataFrame, as_of: Day = None) -> DataFrame:
-    """Stretches of days with one closing balance, those with a free slot left out.
+def balance_stretches(daily: DataFrame, as_of: Day = None) -> DataFrame:
+    """Stretches of days with one closing balance: from a change day to the day before the next.
 
     The first day carries the movements; on the others the balance only stands.
-    With nothing left in the slot no more than the change day itself can count.
     """
     following = F.lead("moment_day").over(Window.partitionBy(*S.GRAIN).orderBy("moment_day"))
-    changes = reportable(daily, as_of).select(
+    return daily.filter(F.col("moment_day") <= as_day(as_of)).select(
         *S.GRAIN,
         F.col("moment_day").alias("first_day"),
-        following.alias("_next"),
+        F.coalesce(F.date_sub(following, 1), as_day(as_of)).alias("last_day"),
         _running("quantity", S.GRAIN, -1).alias("open_slot_balance"),
         _running("quantity", S.GRAIN, 0).alias("close_slot_balance"),
         *[F.coalesce(name, F.lit(0)).alias(name) for name in _FLOWS],
     )
-    stands = F.coalesce(F.date_sub("_next", 1), as_day(as_of))
-    last = F.when(F.col("close_slot_balance") == 0, F.col("first_day")).otherwise(stands)
+
+
+def balance_intervals(daily: DataFrame, as_of: Day = None) -> DataFrame:
+    """Stretches of days with one closing balance, those with a free slot left out.
+
+    With nothing left in the slot no more than the change day itself can count.
+    """
+    stretches = balance_stretches(reportable(daily, as_of), as_of)
+    last = F.when(F.col("close_slot_balance") == 0, F.col("first_day")).otherwise(F.col("last_day"))
     return (
-        changes.withColumn("is_used", occupancy(F.col("close_slot_balance"), F.col("real_out")))
+        stretches.withColumn("is_used", occupancy(F.col("close_slot_balance"), F.col("real_out")))
         .filter("is_used != 0")
         .withColumn("last_day", last)
-        .drop("_next")
+    )
+
+
+def occupancy_days(daily: DataFrame, as_of: Day = None) -> DataFrame:
+    """Closing balance, real outflow and occupancy flag on the whole grid, free days included.
+
+    Stretches are flagged as they unfold, so the grid is not shuffled. Goods of an unknown
+    store have their days, but no movements.
+    """
+    moved = daily.withColumns(
+        {name: F.when(F.col("store_id").isNotNull(), F.col(name)) for name in _FLOWS}
+    )
+    days = balance_stretches(moved, as_of).withColumn(
+        "moment_day", _days(F.col("first_day"), F.col("last_day"))
+    )
+    on_change = F.col("moment_day") == F.col("first_day")
+    shown = days.withColumn("real_out", F.when(on_change, F.col("real_out")).otherwise(F.lit(0)))
+    return shown.select(
+        *S.GRAIN, "moment_day", "close_slot_balance", "real_out",
+        occupancy(F.col("close_slot_balance"), F.col("real_out")).alias("is_used"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotledger import schemas as S
-from slotledger.functions import exact_number, movement_parts, occupancy
+from slotledger.functions import exact_number, movement_parts
 from slotledger.operators import billing, bronze, ledger, marts, quality, spine, upsert
 from slotledger.operators.bronze import time_literal
 from slotledger.plans.oracle import DAILY, on_both, on_ledger, on_operations, on_spine
@@ -201,11 +201,7 @@ def daily_balances_interval(sample):
 SELECT store_id, slot_id, item_id, moment_day, close_slot_balance, real_out, is_used
 FROM counted"""))
 def occupancy_flag(sample):
-    dense = spine.daily_balances_dense(_stored_daily(sample), AS_OF)
-    return dense.select(
-        *S.GRAIN, "moment_day", "close_slot_balance", "real_out",
-        occupancy(F.col("close_slot_balance"), F.col("real_out")).alias("is_used"),
-    )
+    return spine.occupancy_days(_daily(sample), AS_OF)
 
 
 @query(on_spine("""

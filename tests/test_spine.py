@@ -48,6 +48,15 @@ def test_intervals_unfold_to_the_used_days(case):
     )
 
 
+def test_flags_on_the_whole_grid(case):
+    _, daily, grid = case
+    columns = [*S.GRAIN, "moment_day", "close_slot_balance", "real_out", "is_used"]
+    flagged = spine.occupancy_days(daily, AS_OF)
+    assert numeric(flagged, grid, columns)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Generate explode(sequence(first_day")]
+
+
 def test_date_spine_stops_at_the_reporting_day(spark, case):
     _, daily, grid = case
     assert numeric(spine.date_spine(daily, AS_OF), grid, [*S.GRAIN, "moment_day"])
