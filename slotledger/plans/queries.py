@@ -13,9 +13,10 @@ from slotledger import schemas as S
 from slotledger.functions import exact_number, movement_parts
 from slotledger.operators import billing, bronze, ledger, marts, quality, spine, upsert
 from slotledger.operators.bronze import time_literal
+from slotledger.operators.ids import with_global_ids
 from slotledger.plans.oracle import DAILY, on_both, on_ledger, on_operations, on_spine
 from slotledger.plans.pipeline import Warehouse
-from slotledger.plans.sample_ledger import AS_OF, SampleLedger, text
+from slotledger.plans.sample_ledger import AS_OF, POSTING_ORDER, SampleLedger, text
 from slotledger.session import cut, scratch_path
 from slotledger.sources.raw import read_landing, tag
 from slotledger.sources.tables import TableStore
@@ -234,6 +235,40 @@ def spine_enriched(sample):
     return _spine(sample)
 
 
+@query(on_ledger("""
+, lots AS (
+  SELECT * REPLACE (l_partkey || '-' || l_suppkey AS item_id, coalesce(slot_id, 'off_slot') AS slot_id),
+         IF(doc_type = 'move', 0, quantity) AS real
+  FROM united
+), numbered AS (
+  SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY doc_id, item_id, op_type, number, l_partkey, l_suppkey,
+                                    l_extendedprice, quantity, doc_type, moment, slot_id, agent_id)
+                 AS BIGINT) AS id
+  FROM lots
+), summed AS (
+  SELECT *, SUM(quantity) OVER (PARTITION BY store_id, slot_id, item_id ORDER BY moment, id
+                                ROWS UNBOUNDED PRECEDING) AS close_slot_balance,
+         SUM(real) OVER (PARTITION BY item_id ORDER BY moment, id ROWS UNBOUNDED PRECEDING)
+           AS close_total_balance
+  FROM numbered)
+SELECT id, item_id, slot_id, store_id, moment, close_slot_balance - quantity AS open_slot_balance,
+       close_slot_balance, close_total_balance - real AS open_total_balance, close_total_balance
+FROM summed"""))
+def lot_balances(sample):
+    """Slot and item balances of every posting, with the lots of parts as items."""
+    postings = sample.legs(sample.base()).withColumns(
+        {
+            "item_id": F.concat_ws("-", text("l_partkey"), text("l_suppkey")),
+            "slot_id": F.coalesce("slot_id", F.lit(S.OFF_SLOT)),
+        }
+    )
+    numbered = with_global_ids(postings, [F.col(c).asc_nulls_last() for c in POSTING_ORDER])
+    return ledger.running_balances(ledger.split_movements(numbered)).select(
+        "id", "item_id", "slot_id", "store_id", "moment", "open_slot_balance",
+        "close_slot_balance", "open_total_balance", "close_total_balance",
+    )
+
+
 # --- billing and marts -----------------------------------------------------
 
 def _used(sample: SampleLedger) -> DataFrame:
