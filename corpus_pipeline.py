@@ -64,7 +64,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     identity = F.struct(
         F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("digest")
     )
-    found = near_duplicates(docs.select(identity.alias("identity"), "text"), id_col="identity")
+    found = near_duplicates(docs.select(identity.alias("identity"), "text"), id_col="identity", fold=True)
     key = _key("identity.id", F.col("identity.digest")).alias(_KEY)
     found = cut(
         found.select(key, (F.col("identity") == F.col("component_id")).alias("first")), "near-copies"

@@ -107,7 +107,7 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose fingerprints differ in 4 bits at most."""
-    found = near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates(table(spark, sf_dir, "documents"), fold=True)
     return found.select("doc_id", "fingerprint", "component_id")
 
 

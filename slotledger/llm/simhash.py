@@ -68,15 +68,17 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, fold: bool = False
 ) -> DataFrame:
-    """``_id`` and the ``_print`` (64 bits as a signed long) of each row."""
+    """``_id`` and the ``_print`` (64 bits as a signed long) of each row; with ``fold``,
+    A-Z count as a-z."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = (t for part in slices(batch) for t in part.column("_text").cast(pa.binary()).to_pylist())
-            prints = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
+            # bytes.lower() changes A-Z only
+            prints = np.array([fingerprint(t.lower() if fold else t, shingle) for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array(prints.view(np.int64))], names=["_id", "_print"]
             )
@@ -304,13 +306,14 @@ def near_duplicates(
     shingle: int = SHINGLE,
     distance: int = DISTANCE,
     group: int = GROUP,
+    fold: bool = False,
 ) -> DataFrame:
     """Per row: ``id_col``, ``fingerprint`` (hex), ``component_id`` and ``component``.
 
     ``component_id`` is the smallest id reachable over links of at most ``distance``
     bits, the row's own included; ``component`` the least fingerprint, as a signed long.
     """
-    own = cut(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    own = cut(fingerprints(docs, id_col, text_col, shingle, fold), "fingerprints")
     nodes = cut(own.groupBy("_print").agg(F.min("_id").alias("_least")), "distinct-fingerprints")
     stars = roots(near_links(nodes, distance, group))
     found = nodes.join(stars, nodes["_print"] == stars["node"], "left").select(

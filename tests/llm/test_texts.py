@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 from struct import pack as packed
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -14,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from slotledger.llm import licenses, simhash, substrings, words as kernels
+from slotledger.llm import licenses, queries, simhash, substrings, words as kernels
 from slotledger.llm.components import roots
 from slotledger.llm.decontaminate import contamination, winnow
 from slotledger.llm.packing import Packer, _Example, pack_texts
@@ -150,6 +151,19 @@ def test_near_duplicates(spark, docs, nothing, group):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_ignore_case(spark, tmp_path):
+    """As registered: A-Z count as a-z, other letters as they are."""
+    texts = [(1, prose(8, 60)), (2, prose(8, 60).upper()), (3, "Größe Ä One"), (4, "grÖße ä one"), (5, "größe Ä oNE")]
+    made = spark.createDataFrame(texts, "doc_id bigint, text string")
+    made.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.op8_simhash(spark, str(tmp_path)).collect()}
+    folded = {i: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t) for i, t in texts}
+    assert {i: r.fingerprint for i, r in found.items()} == {i: f"{plain_fingerprint(t):016x}" for i, t in folded.items()}
+    assert [found[i].component_id for i in range(1, 6)] == [1, 1, 3, 4, 3]
+    kept = corpus_pipeline.simhash_dedup(spark, made, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3, 4]
+
+
 @pytest.mark.parametrize("group", [8, simhash.GROUP])
 def test_links_of_a_dense_cluster_and_a_chain(spark, group):
     """Near copies around one fingerprint, and a chain in steps of four bits."""
