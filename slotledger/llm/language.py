@@ -3,8 +3,8 @@
 Per row the log posterior of each language is the sum of
 
 * the text: likelihood of its byte trigrams under each language's model, fitted on a
-  bounded sample of labelled rows (``TRAIN_ROWS``) and tempered, since neighbouring
-  trigrams are not independent;
+  bounded sample of each label's rows (``LABEL_ROWS``) and tempered, since neighbouring
+  trigrams are not independent; every label with a letter in its sample is a language;
 * the declared markup language: its likelihood given the language, from counts over all
   rows;
 * the address: a prior for its host, smoothed towards its domain, that towards its
@@ -34,8 +34,7 @@ from slotledger.llm.support import bounded
 from slotledger.llm.words import SLICE_BYTES, text_buffer
 from slotledger.session import cut
 
-TRAIN_ROWS = 20_000  # expected size of the training sample
-LANGUAGES = 64  # most languages told apart, by their number of labels
+LABEL_ROWS = 5_000  # expected size of each label's training sample; all rows of a rarer one
 TEMPER = 0.25  # weight of a trigram's log likelihood
 PULL = 20.0  # rows' worth of a parent's say in a host's, domain's or suffix's prior
 ACCEPT = 0.5  # posterior of all languages together from which a row is accepted
@@ -97,26 +96,42 @@ def _padded(text: str) -> Column:
 
 
 def fit(
-    labelled: DataFrame, id_col: str, text_col: str, label_col: str, train_rows: int = TRAIN_ROWS
+    labelled: DataFrame, id_col: str, text_col: str, label_col: str, label_rows: int = LABEL_ROWS
 ) -> tuple[list[str], np.ndarray]:
     """Languages, ``und`` last, and the log likelihood of each trigram in each.
 
-    Rows are drawn by a hash of their id, about ``train_rows`` of them.
+    Rows are drawn by a hash of their id and text, about ``label_rows`` of each label and
+    at least the one with the least hash.
     """
-    rows = labelled.select(
-        F.col(id_col).alias("id"), _padded(text_col).alias("text"), F.col(label_col).alias("label")
-    ).filter("text IS NOT NULL AND label IS NOT NULL")
-    totals = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
-    names = [r["label"] for r in totals]
-    share = min(1.0, train_rows / max(1, sum(r["count"] for r in totals)))
-    drawn = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    counts = np.zeros((len(names) + 1, _BUCKETS))
+    rows = (
+        labelled.filter(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
+        .select(
+            F.xxhash64(id_col, text_col).alias("hash"),
+            _padded(text_col).alias("text"),
+            F.col(label_col).alias("label"),
+        )
+    )
+    totals = rows.groupBy("label").agg(F.count("*").alias("rows"), F.min("hash").alias("least"))
+    # 64-bit hashes up to the label's own share of their range
+    share = F.lit(float(label_rows)) / F.col("rows")
+    scaled = (share * 2.0**64 - 2.0**63).cast("bigint")
+    limits = totals.select(
+        "label",
+        F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise(F.greatest(scaled, "least")).alias("limit"),
+    )
+    drawn = rows.join(F.broadcast(cut(limits, "label-limits")), "label").filter("hash <= limit")
     summed = (
-        drawn.filter(F.col("label").isin(names)).mapInArrow(_count_trigrams, "label string, counts array<bigint>")
-        .select("label", F.posexplode("counts").alias("i", "n")).groupBy("label", "i").agg(F.sum("n").alias("n"))
+        drawn.select("text", "label").mapInArrow(_count_trigrams, "label string, counts array<bigint>")
+        .select("label", F.posexplode("counts").alias("i", "n")).filter("n > 0 AND i > 0")
+        .groupBy("label", "i").agg(F.sum("n").alias("n"))
     )
-    for row in summed.filter("n > 0").collect():  # languages * buckets at most
-        counts[names.index(row["label"]), row["i"]] = row["n"]
+    found = summed.toArrow()  # labels * buckets at most
+    codes = found["label"].combine_chunks().dictionary_encode()
+    names = sorted(codes.dictionary.to_pylist())
+    counts = np.zeros((len(names) + 1, _BUCKETS))
+    place = {name: i for i, name in enumerate(names)}
+    own = np.array([place[x] for x in codes.dictionary.to_pylist()], dtype=np.int64)
+    counts[own[codes.indices.to_numpy()], found["i"].to_numpy()] = found["n"].to_numpy()
     counts[:, 0] = 0
     smoothed = counts + 0.5
     table = np.log(smoothed / smoothed.sum(axis=1, keepdims=True))

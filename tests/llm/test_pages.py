@@ -153,6 +153,24 @@ def test_declared_language_and_host_decide_short_texts(spark, sf):
     assert identify(frame.limit(0), languages, model).count() == 0
 
 
+def test_every_label_is_fitted(spark):
+    """More labels than 64, one of them rare in a table far larger than the sample."""
+    def text(label, row):
+        return " ".join(f"{chr(97 + label // 26)}{chr(97 + label % 26)}{x}" for x in ("qo", "ve", "ru")[row % 3 :] + ("li",))
+
+    rows = [(k * 100 + i, f"{text(k, i)} " * 20, f"l{k:02}") for k in range(70) for i in range(2)]
+    rows += [(100_000 + i, text(80, i), "big") for i in range(30_000)]
+    rows += [(None, text(90, 0), "null-ids"), (7, None, "no-text"), (8, "12", "no-letters")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    languages, model = fit(frame, "doc_id", "text", "lang", label_rows=1)
+    assert languages == ["big", *(f"l{k:02}" for k in range(70)), "null-ids", "und"]
+    few = [(k, text(k, 0) + " " + text(k, 1), None, None) for k in range(70)]
+    asked = spark.createDataFrame(few, "id bigint, text string, declared string, host string")
+    languages, model = fit(frame, "doc_id", "text", "lang")
+    found = {r.id: r.lang for r in identify(asked, languages, model).collect()}
+    assert found == {k: f"l{k:02}" for k in range(70)}
+
+
 def test_without_labels_all_is_unknown(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     languages, model = fit(empty, "doc_id", "text", "lang")
