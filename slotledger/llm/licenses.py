@@ -4,8 +4,10 @@ All runs of ``GRAM`` words of every text are hashed and joined to the places of
 same runs in the license templates (a fixed list in this module, hence the broadcast).
 A match votes for the diagonal ``place in text - place in template``: a full copy puts
 all its votes on one. Votes are a bit set per (text, template, diagonal), so copies of a
-row cannot vote twice. Neighbouring diagonals, apart by words put in or left out, are
-merged into a span, and a span is verified against the template's words themselves.
+row cannot vote twice. Every diagonal with a vote is verified in order: the template's
+words against the text's from the diagonal on, by edit distance over words, so a word
+missing, changed or put in counts one each. Words that name the license must stand in a
+row. Verified diagonals near each other are merged into a span.
 
 A base phrase is a template that counts only where all its words stand in a row, on one
 diagonal; every such place counts.
@@ -26,7 +28,7 @@ from slotledger.llm.support import repeat_rows, text_or_empty
 
 GRAM = 3
 SLACK = 3  # diagonals up to this far apart belong to one span
-MISSING = 10  # one of so many words of a template may be missing from a verified span
+MISSING = 10  # one of so many words of a template may be missing, changed or put in
 
 # Base phrases and their labels.
 BASE = [
@@ -53,6 +55,12 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 
+# Of templates long enough to differ in a word: the words that name the license.
+NAMES = {
+    "mpl-2": "mozilla public license v 2 0",
+    "cc-by": "creative commons attribution 4 0 international license",
+}
+
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -73,6 +81,30 @@ def _places(own: Column) -> Column:
     ).otherwise(F.array().cast("array<int>"))
 
 
+def _coded(own: Column, phrase: Column) -> Column:
+    """Words as characters: the place of each in ``phrase``, one character for all others."""
+    return F.array_join(F.transform(own, lambda w: F.char(F.array_position(phrase, w) + 48)), "")
+
+
+def _errors(around: Column, phrase: Column, allowed: Column) -> Column:
+    """Least edit distance over words between ``phrase`` and a run of words ``around`` it.
+
+    Runs start and end up to ``allowed`` words off the diagonal, so any alignment with no
+    more errors than that is among them.
+    """
+    text, own, size = _coded(around, phrase), _coded(phrase, phrase), F.size(phrase)
+    runs = F.transform(
+        F.sequence(F.lit(0), 2 * allowed),
+        lambda start: F.array_min(
+            F.transform(
+                F.sequence(-allowed, allowed),
+                lambda more: F.levenshtein(F.substring(text, start + 1, size + more), own),
+            )
+        ),
+    )
+    return F.array_min(runs)
+
+
 def _templates(docs: DataFrame) -> DataFrame:
     """One row per run of words of every template, and a last one that each text meets once."""
     listed = [(label, phrase, True) for label, phrase in BASE]
@@ -117,8 +149,9 @@ def license_scan(
     )
     text_keys = ["_id", "_digest", "n_words"]
     diagonal = F.col("place") - F.col("at")
-    start = F.greatest(diagonal - SLACK, F.lit(0))
-    around = F.slice("_words", start + 1, F.size("phrase") + 2 * SLACK)
+    allowed = F.floor(F.size("phrase") / MISSING).cast("int")
+    start = F.greatest(diagonal - allowed, F.lit(0))
+    around = F.slice("_words", start + 1, F.size("phrase") + 2 * allowed)
     votes = met.groupBy(*text_keys, "template", diagonal.alias("diagonal")).agg(
         F.bit_or(F.expr("shiftleft(1L, at)")).alias("votes"),
         F.count("*").alias("copies"),
@@ -126,8 +159,17 @@ def license_scan(
         F.max(around).alias("around"),
     )
     whole = F.bit_count("votes") == F.size("phrase") - GRAM + 1
+    errors = F.when(whole, 0).when(~F.col("is_base"), _errors(F.col("around"), F.col("phrase"), allowed))
+    named = F.lit(True)
+    for label, name in NAMES.items():
+        name = F.split(F.lit(name), " ")
+        inside = F.size(F.array_except(name, "phrase")) == 0
+        holds = F.contains(_coded(F.col("around"), F.col("phrase")), _coded(name, F.col("phrase")))
+        named &= ~((F.col("label") == label) & inside) | holds
+    # Only the last row of a text, base phrases that are whole and verified diagonals go on.
+    kept = (F.col("template") < 0) | whole | ((F.col("errors") <= allowed) & named)
     ordered = Window.partitionBy(*text_keys, "template").orderBy("diagonal")
-    spans = votes.withColumn(
+    spans = votes.withColumn("errors", errors).filter(kept).withColumn(
         "_new",
         F.coalesce(F.col("diagonal") - F.lag("diagonal").over(ordered) > SLACK, F.lit(True)).cast("int"),
     ).withColumn("span", F.sum("_new").over(ordered))
@@ -139,13 +181,11 @@ def license_scan(
         F.min(F.when(whole, F.col("diagonal"))).alias("first_word"),
         F.max(F.when(whole, F.col("diagonal"))).alias("last_word"),
         F.greatest(F.min("diagonal"), F.lit(0)).alias("start"),
-        F.array_distinct(F.flatten(F.collect_list("around"))).alias("around"),
+        F.min("errors").alias("errors"),
     )
-    share = F.size(F.array_intersect("phrase", "around")) / F.size(F.array_distinct("phrase"))
     counted = F.col("is_base") & (F.col("whole") == 1)
-    distinct = F.size(F.array_distinct("phrase"))
-    verified = ~F.col("is_base") & (distinct * (1 - F.col("share")) < F.floor(distinct / MISSING) + 0.5)
-    found = merged.withColumn("share", F.when(F.col("whole") == 1, 1.0).otherwise(share))
+    verified = ~F.col("is_base")
+    found = merged.withColumn("share", 1 - F.col("errors") / F.size("phrase"))
 
     def joined(which: Column) -> Column:
         return F.array_join(F.array_sort(F.collect_set(F.when(which, F.col("label")))), ",")
@@ -163,8 +203,8 @@ def license_scan(
             F.collect_set(F.when(counted | verified, F.struct("label", "start", "share")))
         ).alias("spans"),
     )
-    named = result.select(
+    listed = result.select(
         F.col("_id").alias(id_col), "n_words", "n_base", "first_word", "last_word",
         "base_labels", "labels", "score", "spans", "copies",
     )
-    return repeat_rows(named, "copies")
+    return repeat_rows(listed, "copies")

@@ -308,6 +308,29 @@ def test_license_scan(spark, docs, nothing):
     assert licenses.license_scan(nothing).count() == 0
 
 
+LIKE_NOTICES = [
+    ("GNU Affero General Public License version 3", "agpl-3", 1.0),
+    ("GNU Lesser General Public License version 3", "lgpl", 1.0),
+    ("the GNU General Public License version 2 or 3", "gpl-2", 1.0),
+    ("GNU General Public lesser License version 3", "", 0.0),
+    ("version 3 of the public license, GNU General Public License", "", 0.0),
+    ("Creative Commons Attribution NonCommercial ShareAlike", "cc-by-nc", 1.0),
+    ("Licensed under a Creative Commons Attribution NoDerivs 4.0 International License", "", 0.0),
+    ("is licensed under Creative Commons Attribution 4.0 International License", "cc-by", 0.9),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.0", "", 0.0),
+    ("This source form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2", 16 / 17),
+    ("and use in source and binary forms, with or without modification, are permitted", "bsd", 13 / 14),
+    ("redistribution and use, in source and binary forms, without or with modification, are permitted", "", 0.0),
+    ("This is free and really unencumbered software released into the public domain. " * 3, "unlicense", 10 / 11),
+]
+
+
+def test_license_templates_are_verified_in_order(spark):
+    rows = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(LIKE_NOTICES)], "doc_id bigint, text string")
+    found = {r.doc_id: (r.labels, round(r.score, 9)) for r in licenses.license_scan(rows).collect()}
+    assert found == {i: (labels, round(score, 9)) for i, (_, labels, score) in enumerate(LIKE_NOTICES)}
+
+
 def test_license_scan_stays_in_the_engine(spark):
     texts = spark.range(3).selectExpr("id AS doc_id", "'under the mit license' AS text")
     plan = licenses.license_scan(texts)._jdf.queryExecution().executedPlan().toString()
