@@ -2,17 +2,20 @@
 
 Each curve projects the vectors onto its own few random orthogonal directions, shifts the
 grid by a random offset and orders all vectors by their place on a Hilbert curve through
-it. The orderings are range-partitioned in Spark, cut into blocks of ``window`` places,
-and a query meets the block of its own place and the two beside it: all vectors within
-``window`` places. Distances are exact, in double precision; the best of all curves are
-merged.
+it. The orderings are range-partitioned in Spark, cut into blocks of ``BLOCK`` places at
+most, and a query meets the blocks that lie within ``window`` places of its own. Distances
+are exact, in double precision; the best of all curves are merged.
+
+The window is measured, not fixed: up to ``SAMPLE`` queries are compared with all points
+(one pass, no shuffle of vectors), and the window doubles until their recall on the curves
+reaches ``RECALL``. A window over all points is exact, so this ends at every size.
 
 Equal vectors are one point of the index with their smallest ids (as many as a result
 can hold), so a vector that fills a third of the table is compared once and ties still go
 to the smallest ids. Mean and spread of the projections come from all vectors.
 
-Recall with 16 curves of 8 directions and windows of 2,048 places: see the README. Larger
-tables of as little structure need wider windows or more curves for the same recall.
+Recall with 16 curves of 8 directions: see the README. Tables of little structure need
+windows that grow with them.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take
 no part, as query or candidate, nor do vectors of another length than most; repeated rows
@@ -32,6 +35,9 @@ from pyspark.sql import functions as F
 from slotledger.session import cut
 
 CURVES, DIRECTIONS, BITS, WINDOW, SEED = 16, 8, 7, 2048, 7
+BLOCK = 2048  # most places of a block: what one task holds at a time does not grow with the window
+RECALL = 0.94  # of the sampled queries; above the required 0.9, as the sample may flatter
+SAMPLE = 200  # queries that the window is measured on
 _SPREAD = 3.0  # standard deviations from the mean to the edge of the grid
 
 
@@ -138,6 +144,73 @@ def _search(size: int, window: int, best: int):
     return run
 
 
+def _all_distances(asked: np.ndarray, vectors: np.ndarray, best: int):
+    """The ``best`` nearest points to each sampled query among a task's points."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points, own = batch.column("point"), _matrix(batch, "v", vectors.shape[1])
+            # Products choose the nearest, differences give their distance.
+            near = (own**2).sum(axis=1) - 2 * vectors @ own.T
+            count = min(best, len(own))
+            top = np.argpartition(near, count - 1, axis=1)[:, :count] if count else np.zeros((len(asked), 0), int)
+            scores = [np.sqrt(((own[t] - v) ** 2).sum(axis=1)) for t, v in zip(top, vectors)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(asked, count)),
+                    points.take(pa.array(top.ravel())),
+                    pa.array(np.concatenate(scores)),
+                ],
+                names=["asked", "point", "score"],
+            )
+
+    return run
+
+
+def _best(found: DataFrame, best: int) -> DataFrame:
+    """Per ``asked`` point its ``best`` nearest as (score, point)."""
+    ordered = F.array_sort(F.collect_set(F.struct("score", "point")))
+    return found.groupBy("asked").agg(F.slice(ordered, 1, best).alias("_best"))
+
+
+def _meet(placed: DataFrame, asking: Column, window: int, size: int, best: int, schema: str) -> DataFrame:
+    """The ``best`` nearest points within ``window`` places, of each curve and block."""
+    block = min(window, BLOCK)
+    reach = -(-window // block)
+    held = placed.withColumn("block", F.floor(F.col("place") / block))
+    meeting = held.withColumn("query", F.lit(False)).unionByName(
+        held.filter(asking).withColumn("query", F.lit(True))
+        .withColumn("block", F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)))
+    ).select("curve", "block", "query", "point", "place", "v")
+    return meeting.groupBy("curve", "block").applyInArrow(_search(size, window, best), schema)
+
+
+def measured_window(
+    points: DataFrame, placed: DataFrame, count: int, size: int, window: int, best: int, schema: str
+) -> int:
+    """``window``, doubled until the sampled queries' recall reaches ``RECALL``."""
+    if count <= window:
+        return window
+    chosen = placed.filter("asked AND curve = 0").orderBy(F.xxhash64("point"), "point").limit(SAMPLE)
+    sample = chosen.select("point", "v").collect()  # SAMPLE vectors at most
+    if not sample:
+        return window
+    asked = np.array([r["point"] for r in sample])
+    vectors = np.array([r["v"] for r in sample])
+    truth = points.select("point", "v").mapInArrow(_all_distances(asked, vectors, best), schema)
+    others = lambda row: [b["score"] for b in row["_best"] if b["point"] != row["asked"]][: best - 1]
+    exact = {r["asked"]: others(r) for r in _best(truth, best).collect()}
+    listed = F.col("asked") & F.col("point").isin(asked.tolist())
+    while window < count:
+        found = _best(_meet(placed, listed, window, size, best, schema), best).collect()
+        got = {r["asked"]: others(r) for r in found}
+        hits = sum(sum(s <= own[-1] * (1 + 1e-9) for s in got.get(q, [])) for q, own in exact.items() if own)
+        if hits >= RECALL * sum(map(len, exact.values())):
+            break
+        window *= 2
+    return window
+
+
 def _valid(vector: Column) -> Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
@@ -176,6 +249,7 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` nearest found of every row that ``queries`` selects among all others.
 
+    ``window`` is the least; it grows until the recall measured on a sample is enough.
     ``query_id``, ``rank`` (from 1), ``id_col`` and ``score``, the Euclidean distance.
     """
     rows = vectors.select(
@@ -221,18 +295,12 @@ def nearest(
     keyed = indexed.mapInArrow(
         _keys(turns, shifts, mean - spread, 2 * spread, curves, BITS), schema
     )
-    placed = _ordered(keyed, count).withColumn("block", F.floor(F.col("place") / window))
-    meeting = placed.withColumn("query", F.lit(False)).unionByName(
-        placed.filter("asked").withColumn("query", F.lit(True))
-        .withColumn("block", F.explode(F.array(*[F.col("block") + i for i in (-1, 0, 1)])))
-    ).select("curve", "block", "query", "point", "place", "v")
-    met = meeting.groupBy("curve", "block").applyInArrow(
-        _search(size, window, k + 1), f"asked {id_type}, point {id_type}, score double"
-    )
-    # At most curves * 3 * (k + 1) rows per query.
-    nearest_points = met.groupBy("asked").agg(
-        F.slice(F.array_sort(F.collect_set(F.struct("score", "point"))), 1, k + 1).alias("_best")
-    )
+    placed = _ordered(keyed, count)
+    found = f"asked {id_type}, point {id_type}, score double"
+    window = measured_window(points, placed, count, size, window, k + 1, found)
+    met = _meet(placed, F.col("asked"), window, size, k + 1, found)
+    # Per query at most k + 1 rows of each curve and block in reach.
+    nearest_points = _best(met, k + 1)
     named = (
         nearest_points.select("asked", F.explode("_best").alias("_b"))
         .select("asked", F.col("_b.score").alias("score"), F.col("_b.point").alias("point"))

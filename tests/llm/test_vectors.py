@@ -70,3 +70,15 @@ def test_recall_with_narrow_windows(spark, sf):
     expected = brute([(r.vec_id, r.embedding) for r in frame.collect()])
     hits = sum(len({i for _, i in own} & {i for _, i in found[q]}) for q, own in expected.items())
     assert hits >= 0.9 * 10 * len(expected)
+
+
+def test_window_grows_until_recall_holds(spark):
+    """Windows too narrow for the table, over vectors without structure."""
+    draw = np.random.default_rng(5)
+    rows = [(int(i), v.tolist()) for i, v in enumerate(draw.normal(size=(3000, 32)))]
+    frame = spark.createDataFrame(rows, KIND).repartition(3)
+    found = found_by_query(nearest(frame, F.col("vec_id") % 100 == 0, window=16))
+    expected = brute(rows)
+    assert found.keys() == expected.keys()
+    hits = sum(len({i for _, i in own} & {i for _, i in found[q]}) for q, own in expected.items())
+    assert hits >= 0.9 * 10 * len(expected)
