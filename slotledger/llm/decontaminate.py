@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotledger.llm.support import bounded, repeat_rows, text_or_empty
-from slotledger.llm.words import ALNUM, rolling, whole_runs, words_of
+from slotledger.llm.words import ALNUM, Words, rolling, whole_runs, words_of
 from slotledger.session import cut
 
 WINDOW, GRAM = 13, 5
@@ -63,8 +63,10 @@ def winnow(hashes: np.ndarray, bounds: np.ndarray, window: int, gram: int):
     return places, grams[places]
 
 
-def _lanes(hashes: np.ndarray, size: int) -> list[np.ndarray]:
-    return [rolling(hashes, size, lane + 2 * size).view(np.int64) for lane in _LANES]
+def _lanes(words: Words, begin: int, end: int, size: int) -> list[np.ndarray]:
+    """Both lanes of all windows of ``size`` among the words from ``begin`` to ``end``."""
+    own = (words.hashes[begin:end], words.second[begin:end])
+    return [rolling(x, size, base + 2 * size).view(np.int64) for x, base in zip(own, _LANES)]
 
 
 def _fingerprints(sizes: list[int], gram: int):
@@ -96,12 +98,13 @@ def _item_windows(window: int, gram: int):
             ids = batch.column("_item").to_pylist()
             for words in words_of(batch.column("_text"), ALNUM):
                 for i in range(words.count):
-                    own = words.hashes[words.bounds[i] : words.bounds[i + 1]]
+                    begin, end = words.bounds[i : i + 2]
+                    own = words.hashes[begin:end]
                     size = min(window, len(own))
                     if not size:
                         continue
                     _, prints = winnow(own, np.array([0, len(own)]), size, min(gram, size))
-                    first, second = _lanes(own, size)
+                    first, second = _lanes(words, begin, end, size)
                     out.append(
                         (ids[words.first + i], size, first.tolist(), second.tolist(),
                          np.unique(prints).view(np.int64).tolist())
@@ -141,7 +144,7 @@ def _extend(gram: int):
                         back = np.arange(size - min(gram, size) + 1)
                         all_starts = np.unique((here[:, None] - back[None, :]).ravel())
                         all_starts = all_starts[(all_starts >= 0) & (all_starts <= len(own) - size)]
-                        for lane, values in zip(lanes, _lanes(own, size)):
+                        for lane, values in zip(lanes, _lanes(words, begin, end, size)):
                             lane.append(values[all_starts])
                         starts.append(all_starts)
                         sizes.append(np.full(len(all_starts), size))

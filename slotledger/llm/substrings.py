@@ -83,8 +83,8 @@ def _windows(texts: pa.ChunkedArray, window: int, lanes: int) -> list[np.ndarray
     """The first ``lanes`` lanes of all windows of a block, in order."""
     found: list[list] = [[np.zeros(0, np.uint64)] for _ in range(lanes)]
     for _, words, inside in _slices(texts, window):
-        for lane, base in zip(found, _LANES):
-            lane.append(rolling(words.hashes, window, base)[inside])
+        for lane, hashes, base in zip(found, (words.hashes, words.second), _LANES):
+            lane.append(rolling(hashes, window, base)[inside])
     return [np.concatenate(lane) for lane in found]
 
 

@@ -76,12 +76,15 @@ def _letters(words: list[str], tokenizer, path: str) -> dict[str, bytes]:
 
 
 def _encode_words(tokenizer, path: str, words: set[str], known: dict[str, bytes]) -> None:
-    """Add the ids of each word; a word of letters and one point or comma is two words' ids."""
+    """Add the ids of each word; one of Latin letters and a point or comma is two words' ids.
+
+    Only of Latin letters: others may end in a mark that the tokenizer joins to the point.
+    """
     letters, tailed, others = [], [], []
     for word in words:
         if word.isalpha():
             letters.append(word)
-        elif word[-1:] in _TAILS and word[:-1].isalpha():
+        elif word[-1:] in _TAILS and _LATIN(word[:-1]):
             tailed.append(word)
         else:
             others.append(word)

@@ -1,11 +1,12 @@
-"""Words of UTF-8 texts as 64-bit hashes, computed on whole Arrow buffers.
+"""Words of UTF-8 texts as 128-bit hashes, computed on whole Arrow buffers.
 
 Both word classes of this package are defined on bytes: every byte of a
 non-ASCII character belongs to a word. So texts never become Python strings;
-bytes are classed by a table of 256 entries, and a word's hash is a difference of
-prefix sums of ``byte * BASE**place`` (mod 2**64), brought back to place 0 and
-mixed. Work is done in slices of bounded size; a text longer than a slice is cut
-at separators, so that only a single huge word can exceed it.
+bytes are classed by a table of 256 entries, and a word is hashed from its own
+bytes into two 64-bit lanes. A word of up to 16 bytes is two numbers, and the
+lanes are a bijection of them, so such words never share both; longer ones take
+the two halves of XXH3-128. Work is done in slices of bounded size; a text longer
+than a slice is cut at separators, so that only a single huge word can exceed it.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 1 << 20
-
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse mod 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_SHORT = 16  # bytes of a word that two numbers hold
+_ROUNDS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
 def _table(separators: list[tuple[int, int]], fold: bool) -> np.ndarray:
@@ -53,22 +54,39 @@ def powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-class _Powers:
-    up = powers(_BASE, 1)
-    down = powers(_INVERSE, 1)
-
-    def reach(self, count: int) -> None:
-        if len(self.up) < count:
-            self.up, self.down = powers(_BASE, count), powers(_INVERSE, count)
+def _number(padded: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The first eight bytes from each start, at most ``lengths`` of them, as one number."""
+    every = np.ndarray(len(padded) - 7, dtype="<u8", buffer=padded, strides=(1,))
+    unused = (8 - np.minimum(lengths, 8)).astype(np.uint64) * np.uint64(8)
+    return every[starts] & (np.uint64((1 << 64) - 1) >> unused)
+
+
+def _hash_words(folded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two lanes for each word; no word holds the byte 0, so its length needs no place."""
+    padded = np.concatenate([folded, np.zeros(_SHORT, np.uint8)])
+    lengths = ends - starts
+    first = _number(padded, starts, lengths)
+    second = np.zeros_like(first)
+    longer = np.flatnonzero(lengths > 8)
+    second[longer] = _number(padded, starts[longer] + 8, lengths[longer] - 8)
+    # Rounds that can be undone one by one: different numbers stay different.
+    a, b, c, d = _ROUNDS
+    first += mix(second + a)
+    second = mix(second ^ mix(first + b))
+    first = mix(first + mix(second ^ c)) ^ d
+    packed = folded.data
+    for i in np.flatnonzero(lengths > _SHORT).tolist():
+        whole = xxhash.xxh3_128_intdigest(packed[starts[i] : ends[i]])
+        first[i], second[i] = whole >> 64, whole & ((1 << 64) - 1)
+    return first, second
 
 
 def _hash_piece(
-    data: np.ndarray, breaks: np.ndarray, table: np.ndarray, known: _Powers
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and hashes of the words of ``data``; no word crosses ``breaks``."""
+    data: np.ndarray, breaks: np.ndarray, table: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and both hashes of the words of ``data``; no word crosses ``breaks``."""
     folded = table[data]
     inside = folded != 0
-    known.reach(len(data) + 1)
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[breaks] = True
     before = np.empty_like(inside)
@@ -77,9 +95,7 @@ def _hash_piece(
     after[-1:], after[:-1] = False, inside[1:]
     starts = np.flatnonzero(inside & (~before | edge[:-1]))
     ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(folded * known.up[: len(data)], out=sums[1:], dtype=np.uint64)
-    return starts, ends, mix((sums[ends] - sums[starts]) * known.down[starts])
+    return starts, ends, *_hash_words(folded, starts, ends)
 
 
 def _cuts(data: np.ndarray, table: np.ndarray) -> list[int]:
@@ -113,11 +129,14 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words of ``count`` texts from row ``first`` on; ``bounds[i]:bounds[i+1]`` are text i's."""
+    """Words of ``count`` texts from row ``first`` on; ``bounds[i]:bounds[i+1]`` are text i's.
+
+    ``hashes`` and ``second`` are the lanes of their hashes.
+    """
 
-    def __init__(self, first, bounds, starts, ends, hashes):
+    def __init__(self, first, bounds, starts, ends, hashes, second):
         self.first, self.bounds = first, bounds
-        self.starts, self.ends, self.hashes = starts, ends, hashes
+        self.starts, self.ends, self.hashes, self.second = starts, ends, hashes, second
         self.count = len(bounds) - 1
 
 
@@ -127,7 +146,7 @@ def words_of(texts: pa.Array, table: np.ndarray) -> Iterator[Words]:
     ``starts`` and ``ends`` are byte places in the buffer of ``text_buffer``.
     """
     data, offsets = text_buffer(texts)
-    known, row, rows = _Powers(), 0, len(offsets) - 1
+    row, rows = 0, len(offsets) - 1
     while row < rows:
         last = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, side="right")) - 1
         last = min(max(last, row + 1), rows)
@@ -139,11 +158,11 @@ def words_of(texts: pa.Array, table: np.ndarray) -> Iterator[Words]:
             pieces = [(begin + a, np.zeros(1, np.int64), begin + b) for a, b in zip(cuts, cuts[1:])]
         parts = []
         for a, breaks, b in pieces:
-            starts, ends, hashes = _hash_piece(data[a:b], breaks, table, known)
-            parts.append((starts + a, ends + a, hashes))
-        starts, ends, hashes = (np.concatenate(x) for x in zip(*parts))
+            starts, ends, *lanes = _hash_piece(data[a:b], breaks, table)
+            parts.append((starts + a, ends + a, *lanes))
+        starts, ends, *lanes = (np.concatenate(x) for x in zip(*parts))
         bounds = np.searchsorted(starts, offsets[row : last + 1])
-        yield Words(row, bounds, starts, ends, hashes)
+        yield Words(row, bounds, starts, ends, *lanes)
         row = last
 
 

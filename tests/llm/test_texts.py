@@ -25,6 +25,7 @@ from tests.llm.conftest import SHARED, TEXTS, ordered, prose, spaced, words
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER = Tokenizer.from_file(WORD_BPE)
 
 
 @settings(max_examples=60, deadline=None)
@@ -49,6 +50,30 @@ def test_word_hashes_follow_words(texts, slice_bytes):
         kernels.SLICE_BYTES = before
 
 
+def thue_morse(size):
+    """Two words that collide under every polynomial hash modulo 2**64."""
+    word = "".join("ab"[i.bit_count() & 1] for i in range(size))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.text(alphabet="ab9é", min_size=1, max_size=24), max_size=40))
+def test_word_hashes_differ_in_each_lane(own):
+    for found in kernels.words_of(pa.array([" ".join([*own, *thue_morse(4096)])]), kernels.SPACED):
+        assert len(set(found.hashes.tolist())) == len(set(found.second.tolist())) == len(own) + 2
+
+
+def test_words_that_fool_polynomials_are_told_apart(spark):
+    first, second = thue_morse(2048)
+    lead = prose(41, 34)
+    docs = spark.createDataFrame([(1, f"{lead} {first}"), (2, f"{lead} {second}")], "doc_id bigint, text string")
+    assert [r.n_removed for r in substrings.without_repeats(docs).collect()] == [0, 0]
+    items = spark.createDataFrame([(1, f"{prose(42, 12)} {first}")], "item_id bigint, text string")
+    texts = [(1, f"{prose(42, 12)} {second} x"), (2, f"{prose(42, 12)} {first} x")]
+    found = contamination(spark.createDataFrame(texts, "doc_id bigint, text string"), items).collect()
+    assert {r.doc_id: r.n_hit for r in found} == {1: 0, 2: 13}
+
+
 def test_whole_runs_stay_inside_texts():
     bounds = np.array([0, 0, 3, 3, 8, 8])
     assert kernels.whole_runs(bounds, 3).tolist() == [True, False, False, True, True, True]
@@ -245,7 +270,7 @@ def test_packer_keeps_all_limits(examples, segments, loss):
 ODD = [
     "", "   ", "a\tb  c \n\n d", "x<|endoftext|>  y", "naïve'll 's'S 12½ ²③ 77", "\x1c!\x1c é  z   q\x85r",
     "日本語 テキスト 🎉🎉 ​", "<|endoftext|>", "İstanbul Σας ΣΑΣ", "it's 'tis,, we'll. 7 a7b", "... . , ,. x,y",
-    "Ünder, straße. ẞ ǅ J̌", "ͅ ͺx ᲀ",
+    "Ünder, straße. ẞ ǅ J̌", "ͅ ͺx ᲀ", "Kİ. ALİ, wordक़, İ. क़. ŉ, ſ. ß, ﬁ.",
 ]
 
 
@@ -258,6 +283,15 @@ def test_words_encoded_alone_give_the_same_ids():
         assert ids == packed(f"<{len(own)}I", *own), repr(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(min_size=1, max_size=6).map(str.strip), max_size=6), st.sampled_from([".", ",", "", "..", "7"]))
+def test_words_with_tails_give_the_same_ids(own, tail):
+    text = " ".join(w + tail for w in own)
+    ids = TOKENIZER.encode(text, add_special_tokens=False).ids
+    (found,) = next(encode_texts([text], WORD_BPE, drops_spaces=True))
+    assert found == packed(f"<{len(ids)}I", *ids), repr(text)
+
+
 @pytest.mark.parametrize("head", [0, 5, 1 << 17])
 def test_token_counts(spark, nothing, head):
     rows = [*TEXTS, *((100 + i, t) for i, t in enumerate(ODD))]
