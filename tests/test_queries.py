@@ -1,6 +1,10 @@
 """Every registered query against its SQL, on the smallest tables."""
 
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -32,3 +36,23 @@ def test_query_matches_its_sql(spark, duck, name):
 
 def test_entry(spark):
     assert entry(spark).columns == ["depositor_name", "moment_month", "slots_used_month"]
+
+
+def test_loads_without_the_training_data_operators(tmp_path):
+    """With the subpackage, its pipeline and its tokenizers taken out, the rest still runs."""
+    root = Path(__file__).parent.parent
+    shutil.copytree(root / "slotledger", tmp_path / "slotledger", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = (
+        "import sys; sys.modules['public_tokenizers'] = None\n"
+        "import __spark_entry__ as e\n"
+        "from slotledger.session import build_session\n"
+        "assert set(e.queries()) >= set(e.oracle_sql()) and not any(n.startswith('op') for n in e.queries())\n"
+        "spark = build_session('bare', 'local[2]', {'spark.ui.enabled': 'false', 'spark.sql.shuffle.partitions': '2'})\n"
+        "assert e.entry(spark).count() >= 0\n"
+    )
+    for with_pipeline in (False, True):
+        if with_pipeline:  # a pipeline left behind does no harm
+            shutil.copy(root / "corpus_pipeline.py", tmp_path)
+            code = code.rsplit("from slotledger.session", 1)[0]
+        subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=300)
