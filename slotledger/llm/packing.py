@@ -18,7 +18,6 @@ not read; empty tables give empty results.
 
 from __future__ import annotations
 
-import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,6 +70,7 @@ class Packer:
         self.limits = np.array([max_tokens, max_segments, max_loss], dtype=np.float64)
         self.max_tokens, self.max_loss = max_tokens, max_loss
         self.pool: list[_Example] = []
+        self.demands = np.zeros((POOL, 3))  # of the pool's examples, row by row
         self.pieces: list[tuple] = []  # as taken, then sequence and offset
         self.sequence = first_sequence
 
@@ -80,6 +80,7 @@ class Packer:
         if len(example.ids):
             if example.start:  # do not hold on to all of a long text
                 example.ids, example.loss = example.ids.copy(), example.loss.copy()
+            self.demands[len(self.pool)] = example.demand()
             self.pool.append(example)
         if len(self.pool) >= POOL:
             while len(self.pool) > POOL // 2:
@@ -99,12 +100,13 @@ class Packer:
     def _fill(self) -> None:
         """Close one sequence from the pool."""
         left = self.limits.copy()
-        demands = np.array([x.demand() for x in self.pool], dtype=np.float64)
+        demands = self.demands[: len(self.pool)]
+        shares = demands / self.limits
         waiting = np.ones(len(self.pool), dtype=bool)
-        chosen: list[tuple[_Example, int]] = []
+        chosen: list[tuple[int, int]] = []  # place in the pool, ids taken
         used = 0
         while left[0] >= 1 and left[1] >= 1 and waiting.any():
-            scores = (demands / self.limits) @ (left / self.limits)
+            scores = shares @ (left / self.limits)
             fitting = waiting & (demands <= left).all(axis=1)
             at = int(np.argmax(np.where(fitting if fitting.any() else waiting, scores, -1.0)))
             example = self.pool[at]
@@ -113,18 +115,24 @@ class Packer:
             if not length:  # its next token bears loss, and that is used up
                 continue
             left -= (length, 1, example.loss[length] - example.loss[0])
-            chosen.append((example, length))
+            chosen.append((at, length))
             used += length
         if used < self.max_tokens:
             keep = 1 << (used.bit_length() - 1)
             while used > keep:
-                example, length = chosen.pop()
+                at, length = chosen.pop()
                 cut = min(length, used - keep)
                 used -= cut
                 if length > cut:
-                    chosen.append((example, length - cut))
-        self._close(chosen)
-        self.pool = [x for x in self.pool if len(x.ids)]
+                    chosen.append((at, length - cut))
+        self._close([(self.pool[at], length) for at, length in chosen])
+        kept = np.ones(len(self.pool), dtype=bool)
+        for at, _ in chosen:
+            self.demands[at] = self.pool[at].demand()
+            kept[at] = len(self.pool[at].ids) > 0
+        places = np.flatnonzero(kept)
+        self.demands[: len(places)] = self.demands[places]
+        self.pool = [self.pool[at] for at in places.tolist()]
 
 
 def _lay(
@@ -202,13 +210,15 @@ def _tokenized(path: str, end_id: int, drops_spaces: bool):
     """Whole texts as examples; all ids but the closing one bear loss."""
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[_Example]:
-        end = array.array("I", [end_id]).tobytes()
         for batch in (part for whole in batches for part in slices(whole, SLICE_TEXTS)):
             keys = iter(batch.column("_id").to_pylist())
-            for some in encode_texts(batch.column("_text").to_pylist(), path, drops_spaces):
-                for packed in some:
-                    ids = np.frombuffer(packed + end, dtype="<u4")
-                    yield _Example(next(keys), ids, np.minimum(np.arange(len(ids) + 1), len(ids) - 1))
+            for ids, bounds in encode_texts(batch.column("_text"), path, drops_spaces):
+                for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                    own = np.empty(end - begin + 1, dtype="<u4")
+                    own[:-1], own[-1] = ids[begin:end], end_id
+                    loss = np.arange(len(own) + 1)
+                    loss[-1] -= 1
+                    yield _Example(next(keys), own, loss)
 
     return examples
 

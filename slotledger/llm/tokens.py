@@ -8,11 +8,13 @@ from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 
 from slotledger.llm.support import once_per_worker
+from slotledger.llm.words import text_buffer
 
 CACHE_WORDS = 600_000  # about 150 MB; once full, new words are kept for one slice only
-SLICE_TEXTS = 1024
+SLICE_TEXTS, SLICE_BYTES = 1024, 8 << 20
 _TAILS = (".", ",")
 # Letters that keep being one letter in lower case.
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
@@ -98,24 +100,61 @@ def _encode_words(tokenizer, path: str, words: set[str], known: dict[str, bytes]
     known.update([(word, known[word[:-1]] + known[word[-1]]) for word in tailed])
 
 
-def encode_texts(texts: list[str], path: str, drops_spaces: bool) -> Iterator[list[bytes]]:
-    """Ids of every whole text, as bytes, slice by slice.
+def _split(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """Pieces of texts, each a word and the space or line end behind it, and the first of each text."""
+    own = data[offsets[0] : offsets[-1]]
+    edge = np.zeros(len(own) + 1, dtype=bool)
+    np.logical_or(own == 0x20, own == 0x0A, out=edge[1:])
+    edge[offsets - offsets[0]] = True
+    edges = np.flatnonzero(edge)
+    pieces = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(own))
+    return pieces, np.searchsorted(edges, offsets - offsets[0])
 
-    ``drops_spaces``: the tokenizer drops white space and never joins what it divides,
-    so the words between spaces and line ends are encoded on their own and kept.
-    """
+
+def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``flat`` one after another, and where each begins and the last ends."""
+    ends = np.zeros(len(lengths) + 1, dtype=np.int64)
+    np.cumsum(lengths, out=ends[1:])
+    places = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], lengths)
+    return flat[places], ends
+
+
+def _ids_by_word(texts: pa.Array, path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     tokenizer = load(path)
     known = once_per_worker(("words", path), dict)
-    for at in range(0, len(texts), SLICE_TEXTS):
-        some = texts[at : at + SLICE_TEXTS]
-        if not drops_spaces:
-            yield [array.array("I", ids).tobytes() for ids in _encode(tokenizer, some)]
-            continue
-        split = [text.replace("\n", " ").split(" ") for text in some]
-        fresh = set().union(*split).difference(known)
+    data, offsets = text_buffer(texts)
+    row, rows = 0, len(offsets) - 1
+    while row < rows:
+        last = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, side="right")) - 1
+        last = min(max(last, row + 1), rows)
+        pieces, firsts = _split(data, offsets[row : last + 1])
+        coded = pieces.dictionary_encode()
+        words = [x.rstrip(" \n") for x in coded.dictionary.to_numpy(zero_copy_only=False)]
         before = len(known)
-        _encode_words(tokenizer, path, fresh, known)
-        yield [b"".join(map(known.__getitem__, words)) for words in split]
+        _encode_words(tokenizer, path, set(words).difference(known), known)
+        packed = list(map(known.__getitem__, words))
+        flat = np.frombuffer(b"".join(packed), dtype="<u4")
+        lengths = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        starts = np.cumsum(lengths) - lengths
+        at = coded.indices.to_numpy()
+        ids, ends = _gather(flat, starts[at], lengths[at])
+        yield ids, ends[firsts]
+        row = last
         if before > CACHE_WORDS:
             for word in list(islice(reversed(known), len(known) - before)):
                 del known[word]
+
+
+def encode_texts(texts: pa.Array, path: str, drops_spaces: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of every whole text, slice by slice: all of a slice's ids, and its n + 1 bounds.
+
+    ``drops_spaces``: the tokenizer drops white space and never joins what it divides,
+    so the words between spaces and line ends are encoded on their own and kept.
+    """
+    if drops_spaces:
+        yield from _ids_by_word(texts, path)
+        return
+    for at in range(0, len(texts), SLICE_TEXTS):
+        found = _encode(load(path), texts.slice(at, SLICE_TEXTS).fill_null("").to_pylist())
+        ends = np.cumsum([0, *map(len, found)])
+        yield np.fromiter((i for ids in found for i in ids), "<u4", int(ends[-1])), ends

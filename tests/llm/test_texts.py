@@ -277,10 +277,14 @@ ODD = [
 def test_words_encoded_alone_give_the_same_ids():
     tokenizer = Tokenizer.from_file(WORD_BPE)
     texts = [*ODD, *(t or "" for _, t in TEXTS)]
-    found = [x for some in encode_texts(texts, WORD_BPE, drops_spaces=True) for x in some]
-    for text, ids in zip(texts, found):
-        own = tokenizer.encode(text, add_special_tokens=False).ids
-        assert ids == packed(f"<{len(own)}I", *own), repr(text)
+    for by_word in (True, False):
+        found = [
+            ids[a:b].tolist()
+            for ids, ends in encode_texts(pa.array(texts), WORD_BPE, drops_spaces=by_word)
+            for a, b in zip(ends[:-1], ends[1:])
+        ]
+        for text, ids in zip(texts, found, strict=True):
+            assert ids == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 @settings(max_examples=300, deadline=None)
@@ -288,8 +292,8 @@ def test_words_encoded_alone_give_the_same_ids():
 def test_words_with_tails_give_the_same_ids(own, tail):
     text = " ".join(w + tail for w in own)
     ids = TOKENIZER.encode(text, add_special_tokens=False).ids
-    (found,) = next(encode_texts([text], WORD_BPE, drops_spaces=True))
-    assert found == packed(f"<{len(ids)}I", *ids), repr(text)
+    found, bounds = next(encode_texts(pa.array([text]), WORD_BPE, drops_spaces=True))
+    assert found.tolist() == ids and bounds.tolist() == [0, len(ids)], repr(text)
 
 
 @pytest.mark.parametrize("head", [0, 5, 1 << 17])
