@@ -14,6 +14,7 @@ from slotledger.llm.language import declared_language, fit, identify
 from slotledger.llm.licenses import license_scan
 from slotledger.llm.nearest import nearest
 from slotledger.llm.packing import pack_texts
+from slotledger.llm.periods import periodic_runs, with_planted_periods
 from slotledger.llm.simhash import near_duplicates
 from slotledger.llm.substrings import without_repeats
 from slotledger.llm.support import table
@@ -124,6 +125,29 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, one in ten with a planted period."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return (
+        periodic_runs(with_planted_periods(docs))
+        .withColumn("longest", longest)
+        .select(
+            "doc_id",
+            F.size("runs").cast("bigint").alias("n_runs"),
+            (-F.col("longest.start")).alias("start"),
+            F.col("longest.length").alias("length"),
+            (-F.col("longest.period")).alias("period"),
+            F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+            F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+            F.sha2("kept", 256).alias("collapsed_sha256"),
+        )
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_license_scan": op2_license_scan,
@@ -135,6 +159,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_nearest": op9_nearest,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLES = {

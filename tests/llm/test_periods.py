@@ -1,0 +1,127 @@
+"""Periodic runs against their definition."""
+
+import hashlib
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from slotledger.llm import periods, queries
+from slotledger.llm.suffix_tree import Extension, SuffixTree
+from slotledger.llm.words import SPACED, words_of
+from tests.llm.conftest import TEXTS, ordered, prose, spaced
+
+
+def plain_runs(words, min_length):
+    """Every maximal stretch of every smallest period, by start, then period."""
+    found = []
+    for period in range(1, len(words) // 2 + 1):
+        start = 0
+        while start + period < len(words):
+            end = start
+            while end + period < len(words) and words[end] == words[end + period]:
+                end += 1
+            length = end + period - start
+            if length >= max(min_length, 2 * period):
+                own = words[start : start + length]
+                if not any(own[q:] == own[:-q] for q in range(1, period)):
+                    found.append((start, length, period))
+            start = end + 1
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+@st.composite
+def sequences(draw):
+    """Few symbols; often periodic from some place on, sometimes changed once after."""
+    size, letters = draw(st.integers(0, 70)), draw(st.integers(1, 5))
+    out = draw(st.lists(st.integers(1, letters), min_size=size, max_size=size))
+    if size > 4 and draw(st.booleans()):
+        first = draw(st.integers(0, size - 3))
+        period = draw(st.integers(1, max(1, (size - first) // 2)))
+        out[first:] = [out[first + i % period] for i in range(size - first)]
+        if draw(st.booleans()):
+            out[draw(st.integers(0, size - 1))] = letters + 1
+    return out
+
+
+@settings(max_examples=400, deadline=None)
+@given(sequences(), st.integers(2, 14))
+def test_runs_follow_their_definition(symbols, min_length):
+    expected = plain_runs(symbols, min_length)
+    assert [tuple(r) for r in periods.runs_of(np.array(symbols), min_length).tolist()] == expected
+    words = [b"w%d" % x for x in symbols]
+    (hashed,) = words_of(pa.array([b" ".join(words).decode()]), SPACED)
+    parts = periods.repetitive(hashed.hashes, min_length)
+    found = periods.runs_of_words(words, parts, min_length).tolist() if parts else []
+    assert [tuple(r) for r in found] == expected
+
+
+@settings(max_examples=100, deadline=None)
+@given(sequences())
+def test_extensions_count_equal_symbols(symbols):
+    extension = Extension(*SuffixTree(symbols).tour())
+    pairs = [(i, j) for i in range(len(symbols) + 1) for j in range(len(symbols) + 1) if i != j]
+    if pairs:
+        left, right = np.array(pairs).T
+        for i, j, got in zip(left, right, extension(left, right)):
+            same = [a == b for a, b in zip(symbols[i:], symbols[j:])]
+            assert got == (same.index(False) if False in same else len(same))
+
+
+def planted(doc, text):
+    words = spaced(text)
+    crc = zlib.crc32(str(doc).encode())
+    if doc is not None and crc % 10 == 0 and words:
+        seed = crc // 10
+        first = seed % len(words)
+        period = 1 + (len(words) - first) // (3 + seed % 8)
+        words = [w if i < first else words[first + (i - first) % period] for i, w in enumerate(words)]
+    return words
+
+
+MORE = [(20 + i, prose(50 + i, 20 + 9 * i)) for i in range(60)] + [
+    (90, "a b c " * 7 + "d"),
+    (91, "x " * 3000),
+    (92, f"{prose(9, 40)} {prose(8, 40)} {prose(9, 40)}"),
+    (93, " ".join(["q r s t u v"] * 2 + ["w"] + ["q r s t u v"] * 2)),
+]
+
+
+def test_periodic_runs(spark, docs, nothing, tmp_path):
+    made = spark.createDataFrame(MORE, "doc_id bigint, text string").repartition(2)
+    rows = made.unionByName(docs.select("doc_id", "text"))
+    rows.withColumn("runs", F.lit("kept out")).write.parquet(f"{tmp_path}/documents.parquet")
+    expected = []
+    for doc, text in [*MORE, *TEXTS]:
+        words = planted(doc, text)
+        runs = plain_runs(words, 12)
+        gone = {i for s, n, p in runs for i in range(s + p, s + n)}
+        lines = "".join(f"{s},{n},{p}\n" for s, n, p in runs)
+        start, length, period = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None,) * 3)
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        sums = [hashlib.sha256(x.encode()).hexdigest() for x in (lines, kept)]
+        exponent = length and 1000 * length // period
+        expected.append((doc, len(runs), start, length, period, exponent, *sums))
+    found = queries.op12_periodic_runs(spark, str(tmp_path))
+    assert ordered(tuple(r) for r in found.collect()) == ordered(expected)
+    assert sum(r[1] > 0 for r in expected) > 8
+    assert periods.periodic_runs(nothing).count() == 0
+    assert periods.with_planted_periods(nothing).count() == 0
+
+
+def test_columns_that_clash_are_left_alone(docs):
+    found = periods.periodic_runs(docs.withColumn("kept", F.lit(1)).withColumn("_seed", F.lit(2)))
+    assert found.columns == ["doc_id", "n_words", "runs", "kept"] and found.count() == len(TEXTS)
+
+
+@pytest.mark.parametrize("size", [40_000])
+def test_long_texts_are_read_whole(spark, size):
+    words = prose(77, size, 5000).split()
+    words[100:] = [words[100 + i % 9000] for i in range(size - 100)]
+    rows = spark.createDataFrame([(1, " ".join(words))], "doc_id bigint, text string")
+    (found,) = periods.periodic_runs(rows).collect()
+    assert max(r.length for r in found.runs) >= size - 100
