@@ -16,6 +16,7 @@ from slotledger.llm.nearest import nearest
 from slotledger.llm.packing import pack_texts
 from slotledger.llm.periods import periodic_runs, with_planted_periods
 from slotledger.llm.simhash import near_duplicates
+from slotledger.llm.spelling import letter_runs, spelling_variants, vocabulary, with_lost_letters
 from slotledger.llm.substrings import without_repeats
 from slotledger.llm.support import table
 from slotledger.llm.token_counts import token_counts
@@ -125,6 +126,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, forms and roots of the words of all documents, some with a letter lost."""
+    runs = letter_runs(table(spark, sf_dir, "documents"), min_length=7)
+    return spelling_variants(vocabulary(with_lost_letters(runs, every=31)))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of repeated words in every document, one in ten with a planted period."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -159,6 +166,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_nearest": op9_nearest,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_periodic_runs": op12_periodic_runs,
 }
 
