@@ -15,6 +15,7 @@ from slotledger.llm.licenses import license_scan
 from slotledger.llm.nearest import nearest
 from slotledger.llm.packing import pack_texts
 from slotledger.llm.periods import periodic_runs, with_planted_periods
+from slotledger.llm.personal import KINDS, count_of, personal_data, span_list
 from slotledger.llm.simhash import near_duplicates
 from slotledger.llm.spelling import letter_runs, spelling_variants, vocabulary, with_lost_letters
 from slotledger.llm.substrings import without_repeats
@@ -155,6 +156,17 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: strict patterns, and what their contexts reveal."""
+    found = personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[count_of("strict", kind).alias(f"n_{name}") for kind, name in enumerate(KINDS)],
+        F.sha2(span_list("strict"), 256).alias("base_sha256"),
+        span_list("spans").alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_license_scan": op2_license_scan,
@@ -168,6 +180,7 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLES = {
