@@ -178,31 +178,62 @@ def enrich_operations(sample):
 
 # --- the daily grid --------------------------------------------------------
 
+# Columns of the grid.
+_BALANCES = [
+    "open_slot_balance", "quantity", "close_slot_balance", "open_total_balance",
+    "close_total_balance", "real_in", "move_in", "real_out", "move_out",
+]
+_PLACE_NAMES = ["store_name", "zone_name", "slot_name", "item_name", "depositor_name", "depositor_inn", "article"]
+
+
+def _months(rows: DataFrame, keys: list[str], sums: list[str], texts: list[str] = ()) -> DataFrame:
+    """A daily grid month by month, so that it can be compared at any size: how many days, and
+    of each column the sum, the sum weighted by the day of the month, or the least and greatest."""
+    day = F.dayofmonth("moment_day")
+    return rows.groupBy(*keys, F.trunc("moment_day", "month").alias("month")).agg(
+        F.count("*").alias("days"),
+        F.sum(day).cast("double").alias("day"),
+        *[F.sum(F.col(c).cast("double")).alias(c) for c in sums],
+        *[F.sum(F.col(c).cast("double") * day).alias(f"{c}_dated") for c in sums],
+        *[x for c in texts for x in (F.min(c).alias(f"least_{c}"), F.max(c).alias(f"greatest_{c}"))],
+    )
+
+
+def _months_sql(rows: str, keys: list[str], sums: list[str], texts: list[str] = ()) -> str:
+    both = [f"SUM(CAST({c} AS DOUBLE)) AS {c}, SUM(CAST({c} AS DOUBLE) * day(moment_day)) AS {c}_dated" for c in sums]
+    ends = [f"MIN({c}) AS least_{c}, MAX({c}) AS greatest_{c}" for c in texts]
+    shown = ", ".join([
+        *keys, "CAST(date_trunc('month', moment_day) AS DATE) AS month", "COUNT(*) AS days",
+        "CAST(SUM(day(moment_day)) AS DOUBLE) AS day", *both, *ends,
+    ])
+    return f"SELECT {shown} FROM {rows} GROUP BY {', '.join(keys)}, date_trunc('month', moment_day)"
+
+
 @query(on_spine("SELECT * FROM daily"))
 def daily_movements(sample):
     return _daily(sample)
 
 
-@query(on_spine("SELECT * FROM grid"))
+@query(on_spine(_months_sql("grid", S.GRAIN, [])))
 def date_spine(sample):
-    return spine.date_spine(_daily(sample), AS_OF)
+    return _months(spine.date_spine(_daily(sample), AS_OF), S.GRAIN, [])
 
 
-@query(on_spine("SELECT * FROM dense"))
+@query(on_spine(_months_sql("dense", S.GRAIN, _BALANCES)))
 def daily_balances_dense(sample):
-    return spine.daily_balances_dense(_stored_daily(sample), AS_OF)
+    return _months(spine.daily_balances_dense(_stored_daily(sample), AS_OF), S.GRAIN, _BALANCES)
 
 
-@query(on_spine("SELECT * FROM counted WHERE is_used > 0"))
+@query(on_spine(_months_sql("counted WHERE is_used > 0", S.GRAIN, [*_BALANCES, "is_used", "items_in_slot"])))
 def daily_balances_interval(sample):
-    return spine.daily_balances(_stored_daily(sample), AS_OF)
+    rows = spine.daily_balances(_stored_daily(sample), AS_OF)
+    return _months(rows, S.GRAIN, [*_BALANCES, "is_used", "items_in_slot"])
 
 
-@query(on_spine("""
-SELECT store_id, slot_id, item_id, moment_day, close_slot_balance, real_out, is_used
-FROM counted"""))
+@query(on_spine(_months_sql("counted", S.GRAIN, ["close_slot_balance", "real_out", "is_used"])))
 def occupancy_flag(sample):
-    return spine.occupancy_days(_daily(sample), AS_OF)
+    rows = spine.occupancy_days(_daily(sample), AS_OF)
+    return _months(rows, S.GRAIN, ["close_slot_balance", "real_out", "is_used"])
 
 
 @query(on_spine("""
@@ -219,20 +250,24 @@ def items_in_slot(sample):
     )
 
 
-@query(on_spine("""
-SELECT id, slot_id, item_id, moment_day, items_in_slot, close_slot_balance, expected_bin_qty,
-       slot_balance_errors
-FROM spine WHERE slot_balance_errors <> ''"""))
+_TAGGED = ["store_id", "slot_id", "item_id", "slot_balance_errors"]
+
+
+@query(on_spine(_months_sql(
+    "spine WHERE slot_balance_errors <> ''", _TAGGED, ["id", "items_in_slot", "close_slot_balance"], ["expected_bin_qty"]
+)))
 def balance_anomalies(sample):
-    return _spine(sample).filter("slot_balance_errors != ''").select(
-        "id", "slot_id", "item_id", "moment_day", "items_in_slot", "close_slot_balance",
-        "expected_bin_qty", "slot_balance_errors",
-    )
+    rows = _spine(sample).filter("slot_balance_errors != ''")
+    return _months(rows, _TAGGED, ["id", "items_in_slot", "close_slot_balance"], ["expected_bin_qty"])
 
 
-@query(on_spine("SELECT * FROM spine"))
+_SPINE_SUMS = ["id", *_BALANCES, "is_used", "items_in_slot"]
+_SPINE_TEXTS = [*_PLACE_NAMES, "product", "lot", "mfg_date", "depositor_id", "expected_bin_qty"]
+
+
+@query(on_spine(_months_sql("spine", _TAGGED, _SPINE_SUMS, _SPINE_TEXTS)))
 def spine_enriched(sample):
-    return _spine(sample)
+    return _months(_spine(sample), _TAGGED, _SPINE_SUMS, _SPINE_TEXTS)
 
 
 @query(on_ledger("""
@@ -303,9 +338,15 @@ def mart_operations(sample):
     return marts.ordered(marts.operations_mart(sample.operations_with_balance()), "operations")
 
 
-@query(on_spine(f"SELECT {', '.join(marts.BALANCE_DAILY_COLUMNS)} FROM spine"))
+_MART_KEYS = ["store_name", "slot_name", "item_name"]
+_MART_TEXTS = ["depositor_name", "depositor_inn", "zone_name", "article", "product", "lot", "mfg_date"]
+
+
+@query(on_spine(_months_sql(
+    f"(SELECT {', '.join(marts.BALANCE_DAILY_COLUMNS)} FROM spine) m", _MART_KEYS, ["id", *_BALANCES], _MART_TEXTS
+)))
 def mart_balance_daily(sample):
-    return marts.ordered(marts.balance_daily(_spine(sample)), "balance_daily")
+    return _months(marts.balance_daily(_spine(sample)), _MART_KEYS, ["id", *_BALANCES], _MART_TEXTS)
 
 
 _NO_SLOTS = on_spine("""
@@ -414,7 +455,7 @@ UNION ALL SELECT 'spine_move_signs', COUNT(*) FROM s WHERE move_in < 0 OR move_o
 UNION ALL SELECT 'spine_negative_flag', COUNT(*) FROM s WHERE close_slot_balance < 0 AND is_used <> 2
 UNION ALL SELECT 'spine_duplicate_grain', COUNT(*) FROM
   (SELECT 1 FROM s GROUP BY store_id, slot_id, item_id, moment_day HAVING COUNT(*) > 1) g
-UNION ALL SELECT 'spine_future_days', COUNT(*) FROM s WHERE moment_day > DATE '2000-12-31'
+UNION ALL SELECT 'spine_future_days', COUNT(*) FROM s WHERE moment_day > DATE '2001-12-31'
 UNION ALL SELECT 'spine_day_continuity', COUNT(*) FROM s n JOIN s p
   ON n.store_id = p.store_id AND n.slot_id = p.slot_id AND n.item_id = p.item_id
   AND n.moment_day = p.moment_day + 1 WHERE n.open_slot_balance <> p.close_slot_balance
@@ -849,16 +890,16 @@ def merge_composite_key(sample):
 
 @query(on_ledger("""
 SELECT doc_id, moment, number, item_id, quantity, slot_id, doc_type, op_type FROM united u
-WHERE moment >= TIMESTAMP '2000-07-01'
-   OR NOT EXISTS (SELECT 1 FROM united b WHERE b.doc_id = u.doc_id
-                  AND b.moment >= TIMESTAMP '2000-07-01')"""))
+LEFT JOIN (SELECT DISTINCT doc_id AS sent FROM united WHERE moment >= TIMESTAMP '1998-07-01') b
+  ON sent = doc_id
+WHERE moment >= TIMESTAMP '1998-07-01' OR sent IS NULL"""))
 def replace_by_document(sample):
-    """Postings of the second half-year replace all stored rows of their documents."""
+    """Postings of the later half of the years replace all stored rows of their documents."""
     rows = sample.legs(sample.base()).select(
         "doc_id", "moment", "number", "item_id", "quantity", "slot_id", "doc_type", "op_type"
     )
-    existing = rows.filter("moment < TIMESTAMP_NTZ '2000-07-01 00:00:00'")
-    batch = rows.filter("moment >= TIMESTAMP_NTZ '2000-07-01 00:00:00'")
+    existing = rows.filter("moment < TIMESTAMP_NTZ '1998-07-01 00:00:00'")
+    batch = rows.filter("moment >= TIMESTAMP_NTZ '1998-07-01 00:00:00'")
     return upsert.replace_by_document(existing, batch)
 
 

@@ -1,7 +1,7 @@
 """The sample tables (line items, parts, orders, events, ...) seen as a slot ledger.
 
 Every line item is a document position: its order is the document, its supplier
-the slot, its part's brand the item, its week of shipment the day. The mapping is
+the slot, its part's brand the item, its day of shipment the day. The mapping is
 written out in ``FIXTURES.md``; ``oracle.py`` states the same in SQL.
 """
 
@@ -14,8 +14,7 @@ from slotledger import schemas as S
 from slotledger.operators import ledger as L
 from slotledger.operators.ids import with_global_ids
 
-FIRST_SHIPMENT, FIRST_DAY = "1995-01-01", "2000-01-01"
-AS_OF = "2000-12-31"
+AS_OF = "2001-12-31"  # after the last shipment
 POSITIONS_PER_PAGE = 500  # the most positions one JSON object carries
 
 # One order that tells any two postings apart.
@@ -54,15 +53,7 @@ class SampleLedger:
         )
 
     def moment(self) -> Column:
-        """A ledger day per week of shipment, an hour per weekday: order is kept.
-
-        Seven years of shipments so fill one year of days, and the whole daily grid
-        stays small enough to be compared row by row.
-        """
-        days = F.date_diff(F.to_date("l_shipdate"), F.lit(FIRST_SHIPMENT).cast("date"))
-        week, weekday = F.floor(days / 7).cast("int"), (days % 7).cast("int")
-        hours = F.make_dt_interval(week, weekday)
-        return F.lit(f"{FIRST_DAY} 00:00:00").cast(S.TIME) + hours
+        return F.col("l_shipdate").cast(S.TIME)
 
     def base(self) -> DataFrame:
         """All line items with their part's brand and their order."""
@@ -527,7 +518,7 @@ class SampleLedger:
         """Every fiftieth order re-sent later, with double quantities."""
         lines = self.base().filter(F.col("doc_id") % 50 == 0)
         doubled = lines.withColumn("l_quantity", 2 * F.col("l_quantity"))
-        return self.raw_ledger_documents(doubled, F.lit("2001-06-01 00:00:00"))
+        return self.raw_ledger_documents(doubled, F.lit("2002-06-01 00:00:00"))
 
     def raw_ledger(self) -> DataFrame:
         """What ``base`` maps, as a source would send it: documents, directories, brands."""
