@@ -19,7 +19,7 @@ from slotledger.plans.pipeline import Warehouse
 from slotledger.plans.sample_ledger import AS_OF, POSTING_ORDER, SampleLedger, text
 from slotledger.session import cut, scratch_path
 from slotledger.sources.raw import read_landing, tag
-from slotledger.sources.tables import TableStore
+from slotledger.sources.tables import Changes, TableStore
 from slotledger.streaming import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -838,6 +838,17 @@ def audit_flatten(sample):
 
 # --- incremental loading ---------------------------------------------------
 
+def _taken_in(sample, existing: DataFrame, batch: DataFrame, changes: Changes, since: dt.datetime | None = None) -> DataFrame:
+    """A stored table after a batch, by default of what is newer than all of it."""
+    store = TableStore(sample.spark, scratch_path(sample.spark, "warehouse"))
+    store.write(existing, "bronze", "stored")
+    if since is None:
+        since = upsert.high_watermark(store.read("bronze", "stored"), changes.changed) or upsert.EPOCH
+        batch = upsert.newer_than(batch, changes.changed, since)
+    store.merge(batch, "bronze", "stored", changes, since=since)
+    return store.read("bronze", "stored")
+
+
 def _last_events(rows: DataFrame) -> DataFrame:
     """One row per user: the latest event, as a directory keyed by user."""
     latest = rows.groupBy("user_id").agg(
@@ -864,8 +875,7 @@ def merge_by_key(sample):
     events = sample.table("events")
     existing = _last_events(events.filter(f"ts < TIMESTAMP_NTZ '{CUTOVER}'"))
     batch = _last_events(events.filter(f"ts >= TIMESTAMP_NTZ '{CUTOVER}'"))
-    fresh = upsert.newer_than(batch, "updated", upsert.high_watermark(existing))
-    return upsert.merge_by_key(existing, fresh, ["user_id"])
+    return _taken_in(sample, existing, batch, Changes(["user_id"], "updated"))
 
 
 @query("""
@@ -885,7 +895,7 @@ def merge_composite_key(sample):
     batch = audit.filter("moment >= TIMESTAMP_NTZ '2024-01-10 00:00:00'").withColumn(
         "name", F.concat("name", F.lit("+"))
     )
-    return upsert.merge_by_key(existing, batch, ["doc_id", "event_type", "moment"])
+    return _taken_in(sample, existing, batch, Changes(["doc_id", "event_type", "moment"], "moment"), upsert.EPOCH)
 
 
 @query(on_ledger("""
@@ -898,9 +908,11 @@ def replace_by_document(sample):
     rows = sample.legs(sample.base()).select(
         "doc_id", "moment", "number", "item_id", "quantity", "slot_id", "doc_type", "op_type"
     )
-    existing = rows.filter("moment < TIMESTAMP_NTZ '1998-07-01 00:00:00'")
-    batch = rows.filter("moment >= TIMESTAMP_NTZ '1998-07-01 00:00:00'")
-    return upsert.replace_by_document(existing, batch)
+    later = F.col("moment") >= F.lit("1998-07-01 00:00:00").cast(S.TIME)
+    sent = F.when(later, "2002-01-02 00:00:00").otherwise("2002-01-01 00:00:00").cast(S.TIME)
+    rows = cut(rows.withColumn("updated", sent), "versions")
+    existing, batch = rows.filter(~later), rows.filter(later)
+    return _taken_in(sample, existing, batch, Changes(["doc_id"], "updated")).drop("updated")
 
 
 @query(f"""

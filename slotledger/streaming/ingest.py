@@ -1,9 +1,10 @@
 """Landed envelope files taken into the typed tables as they arrive.
 
 Structured Streaming remembers which files it has seen, so no watermark has to be
-asked from the tables. What decides is the change time of each key: a row or a
-document comes in if it is newer than the stored one, or not stored yet. So files
-may land in any order, a micro-batch may be repeated after a failure, and several
+asked from the tables. Each micro-batch is stored beside the tables as it is and no
+stored row is looked at: what decides, when a table is read, is the change time of each
+key, and a row or a document counts if it is newer than the one stored before it. So
+files may land in any order, a micro-batch may be repeated after a failure, and several
 streams with checkpoints of their own may feed one warehouse.
 
 A missing key is a key like others, and a missing change time is older than any.
@@ -13,9 +14,7 @@ the last by all columns counts; positions of a document all do.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotledger import schemas as S
@@ -24,40 +23,19 @@ from slotledger.operators.bronze import time_literal
 from slotledger.operators.upsert import EPOCH
 from slotledger.plans.pipeline import Warehouse, each_table
 from slotledger.session import cut, scratch_scope
+from slotledger.sources.tables import Changes, same_keys
 
 
-def _when(changed: str) -> Column:
-    return F.coalesce(changed, time_literal(EPOCH))
-
-
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_new_{k}"]) for k in keys])
-
-
-def newer_keys(rows: DataFrame, existing: DataFrame | None, keys: list[str], changed: str) -> DataFrame:
-    """Keys whose latest row is newer than the stored one, as ``_new_*``, with its time ``_time``."""
+def newest(rows: DataFrame, keys: list[str], how: str, changed: str) -> DataFrame:
+    """The rows of each key's newest version in a batch; one row where the table keeps one."""
+    time = F.coalesce(F.col(changed), time_literal(EPOCH))
+    if how == "merge":
+        one = rows.groupBy(*keys).agg(F.max(F.struct(time.alias("_time"), F.struct(*rows.columns).alias("_row"))).alias("_last"))
+        return one.select("_last._row.*").select(*rows.columns)
     named = [F.col(k).alias(f"_new_{k}") for k in keys]
-    latest = rows.groupBy(*named).agg(F.max(_when(changed)).alias("_time"))
-    if existing is None:
-        return latest
-    # Only stored rows of the batch's keys are looked at; a small batch is broadcast.
-    seen = existing.select(*keys, _when(changed).alias("_when"))
-    stored = seen.join(latest, _same(seen, latest, keys)).groupBy(
-        *[f"_new_{k}" for k in keys], "_time"
-    ).agg(F.max("_when").alias("_stored"))
-    old = stored.filter("_stored >= _time").select(*[F.col(f"_new_{k}").alias(k) for k in keys])
-    return latest.join(old, _same(old, latest, keys), "left_anti")
-
-
-def _latest(rows: DataFrame, fresh: DataFrame, keys: list[str], how: str, changed: str) -> DataFrame:
-    """Rows of the version that ``fresh`` names for each key."""
-    found = rows.join(fresh, _same(rows, fresh, keys) & (_when(changed) == fresh["_time"])).select(
-        *rows.columns
-    )
-    if how == "replace":
-        return found
-    one = found.groupBy(*keys).agg(F.max(F.struct(*found.columns)).alias("_row"))
-    return one.select("_row.*").select(*rows.columns)
+    latest = rows.groupBy(*named).agg(F.max(time).alias("_time"))
+    same = same_keys(rows, latest, [(k, f"_new_{k}") for k in keys])
+    return rows.join(latest, same & (time == latest["_time"])).select(*rows.columns)
 
 
 def take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
@@ -72,15 +50,11 @@ def _take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
 
     def load(name: str) -> None:
         parse, keys, how, changed = bronze.TABLES[name]
-        rows = cut(parse(raw, None), f"rows-{name}")
-        existing = store.read("bronze", name) if store.exists("bronze", name) else None
-        fresh = cut(newer_keys(rows, existing, keys, changed), f"keys-{name}")
-        if existing is None:
-            store.write(_latest(rows, fresh, keys, how, changed), "bronze", name)
-        elif not fresh.isEmpty():
-            kept = existing.join(fresh, _same(existing, fresh, keys), "left_anti")
-            latest = _latest(rows, fresh, keys, how, changed)
-            store.write(kept.unionByName(latest), "bronze", name)
+        rows = cut(newest(parse(raw, None), keys, how, changed), f"rows-{name}")
+        if not store.exists("bronze", name):
+            store.write(rows, "bronze", name)
+        elif not rows.isEmpty():
+            store.merge(rows, "bronze", name, Changes(keys, changed))
 
     each_table(load)
 
