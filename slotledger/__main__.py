@@ -2,7 +2,8 @@
 
     python -m slotledger --landing FOLDER --root FOLDER [--as-of DAY]
 
-``FOLDER`` of ``--landing`` holds one folder per entity with one JSON object per line.
+``FOLDER`` of ``--landing`` holds one folder per entity with one JSON object per line, and
+``audit`` with audit contexts; folders that are missing have nothing to land.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from slotledger.plans.pipeline import Warehouse
 from slotledger.session import build_session
 from slotledger.sources.raw import read_landing
 
-ENTITIES = S.DIMENSION_ENTITIES + S.DOCUMENT_ENTITIES + S.AUDIT_ENTITIES
+ENTITIES = [*S.DIMENSION_ENTITIES, *S.DOCUMENT_ENTITIES, S.AUDIT_CONTEXTS, *S.AUDIT_ENTITIES]
 
 
 def main(arguments: list[str] | None = None) -> None:

@@ -6,6 +6,7 @@ from slotledger.functions.columns import (
     exact_number,
     join_text,
     last_segment,
+    loses_digits,
     month_key,
     movement_parts,
     named_value,
@@ -15,6 +16,6 @@ from slotledger.functions.columns import (
 )
 
 __all__ = [
-    "as_day", "balance_tags", "exact_number", "join_text", "last_segment", "month_key", "movement_parts",
+    "as_day", "balance_tags", "exact_number", "join_text", "last_segment", "loses_digits", "month_key", "movement_parts",
     "named_value", "nulls_last", "occupancy", "operation_tags",
 ]

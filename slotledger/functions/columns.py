@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from slotledger import schemas as S
 
+DECIMALS = 6  # of the ledger's number type
+
 
 def nulls_last(names: list[str]) -> list[Column]:
     """Ascending order with NULLs at the end (Spark puts them first by default)."""
@@ -25,6 +27,23 @@ def as_day(as_of: dt.date | str | Column | None) -> Column:
     return F.lit(as_of).cast("date")
 
 
+def loses_digits(text: Column | str) -> Column:
+    """Whether a number has more decimals than the ledger keeps, judged by its digits as written.
+
+    Any cast would have rounded both sides of a comparison. Zeros at the end do not count.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    plain = text.rlike(rf"^\s*[+-]?[0-9]*\.?[0-9]{{0,{DECIMALS}}}0*\s*$")
+    whole, part, power = (
+        F.regexp_extract(text, r"^\s*[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?", i) for i in (1, 2, 3)
+    )
+    digits = F.concat(whole, part)
+    kept = F.rtrim(digits, F.lit("0"))
+    zeros = F.length(digits) - F.length(kept)
+    decimals = F.length(part) - zeros - F.coalesce(F.nullif(power, F.lit("")).cast("int"), F.lit(0))
+    return ~plain & (kept != "") & (decimals > DECIMALS)
+
+
 def exact_number(text: Column | str) -> Column:
     """Text as the ledger's number type; a value it cannot hold fails the query.
 
@@ -32,11 +51,9 @@ def exact_number(text: Column | str) -> Column:
     would round digits behind it without a word.
     """
     text = F.col(text) if isinstance(text, str) else text
-    value = text.cast(S.NUMERIC)
     message = F.concat(F.lit("more decimals than the ledger keeps: "), text)
-    return F.when(
-        text.cast("DECIMAL(38,18)") != value, F.raise_error(message).cast(S.NUMERIC)
-    ).otherwise(value)
+    refused = F.raise_error(message).cast(S.NUMERIC)
+    return F.when(loses_digits(text), refused).otherwise(text.cast(S.NUMERIC))
 
 
 def join_text(*parts: Column | str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotledger import schemas as S
-from slotledger.functions import exact_number, movement_parts
+from slotledger.functions import exact_number, loses_digits, movement_parts
 from slotledger.operators import billing, bronze, ledger, marts, quality, spine, upsert
 from slotledger.operators.bronze import time_literal
 from slotledger.operators.ids import with_global_ids
@@ -732,6 +732,22 @@ FROM legs"""
 _DOCUMENT_PARSERS = [bronze.supply, bronze.enter, bronze.demand, bronze.loss, bronze.move]
 
 
+@query("""
+SELECT p_partkey, written, length(rtrim(split_part(written, '.', 2), '0')) > 6 AS refused
+FROM (SELECT p_partkey, p_size || '.' || repeat('0', CAST(p_partkey % 24 AS INTEGER)) || p_size % 10
+             || repeat('0', CAST(p_partkey % 3 AS INTEGER)) AS written FROM part) w""")
+def exact_numbers(sample):
+    """Numbers with up to 26 decimals: those that the ledger would round are refused."""
+    size = F.col("p_size")
+    written = F.concat(
+        text(size), F.lit("."), F.repeat(F.lit("0"), (F.col("p_partkey") % 24).cast("int")), text(size % 10),
+        F.repeat(F.lit("0"), (F.col("p_partkey") % 3).cast("int")),
+    )
+    return sample.table("part").select("p_partkey", written.alias("written")).withColumn(
+        "refused", loses_digits("written")
+    )
+
+
 def _flat(documents: DataFrame) -> DataFrame:
     """Documents as in the SQL: quantities as doubles, without the position."""
     return documents.withColumn("quantity", F.col("quantity").cast("double")).drop("position")

@@ -10,6 +10,7 @@ from __future__ import annotations
 DIMENSION_ENTITIES = ["store", "uom", "product", "variant", "counterparty"]
 DOCUMENT_ENTITIES = ["demand", "supply", "loss", "enter", "move"]
 AUDIT_ENTITIES = ["audit_deleted", "audit_restored"]
+AUDIT_CONTEXTS = "audit"
 
 # Sentinels, event types and report tags.
 OFF_SLOT = "off_slot"

@@ -193,10 +193,11 @@ def test_audit_contexts_to_events(spark, rows):
         (None, "demand", "restorefromrecyclebin", TIME, "N"),
         ("d1", "demand", "puttorecyclebin", TIME, "N"),
     ]
-    landed = bronze.audit_deleted(land_audit(contexts, "audit_deleted"))
+    landed = bronze.audit_deleted(land_audit(contexts))
     assert rows(landed, "doc_id", "name", "moment") == [
-        (None, "N", MOMENT), (None, None, MOMENT), ("d1", "N", MOMENT),
+        (None, None, MOMENT), ("d1", "N", MOMENT),
     ]
+    assert rows(bronze.audit_restored(land_audit(contexts)), "doc_id", "name") == [(None, "N")]
     body = {"doc_id": "d1", "entity_type": "demand", "event_type": "puttorecyclebin",
             "name": "N", "moment": TIME}
     df = raw(spark, ("audit_deleted", body), ("audit_restored", body))
@@ -214,6 +215,7 @@ def test_numbers_that_do_not_fit_fail_the_load(spark):
 
     assert str(parsed("1.123456")) == "1.123456" and str(parsed("-1e2")) == "-100.000000"
     assert str(parsed("1.12345600")) == "1.123456" and parsed(None) is None
-    for text in ("1.1234567", "abc", "1e20"):
+    assert str(parsed("15e-5")) == "0.000150" and str(parsed("120e-7")) == "0.000012" and str(parsed("0.0e-9")) == "0.000000"
+    for text in ("1.1234567", "abc", "1e20", "1.0000000000000000004", "1e-19", "12e-7", "0.000000000000000000000001"):
         with pytest.raises(Exception):
             parsed(text)
