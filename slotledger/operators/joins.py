@@ -1,13 +1,20 @@
-"""Left joins whose left side holds many rows of a key that nothing can match."""
+"""Joins on keys that may be missing, and left joins many of whose rows nothing can match."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPREAD = 4096  # places over which the rows that cannot match are dealt
 
 
+def same_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
+    """Equal keys; a missing one is a key like others."""
+    return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
+
+
 def left_join_known(
     rows: DataFrame, other: DataFrame, keys: list[str], known: Column, spread_by: list[str]
 ) -> DataFrame:

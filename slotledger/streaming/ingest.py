@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 from slotledger import schemas as S
 from slotledger.operators import bronze
 from slotledger.operators.bronze import time_literal
+from slotledger.operators.joins import same_keys
 from slotledger.operators.upsert import EPOCH
 from slotledger.plans.pipeline import Warehouse, each_table
 from slotledger.session import cut, scratch_scope
-from slotledger.sources.tables import Changes, same_keys
+from slotledger.sources.tables import Changes
 
 
 def newest(rows: DataFrame, keys: list[str], how: str, changed: str) -> DataFrame:
