@@ -55,6 +55,59 @@ def test_broken_and_long_pages(page, text):
     assert main_text(page) == text
 
 
+LONG = "This paragraph is long enough to be prose, says everyone who has read it."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>super<wbr>cali<img src=x>fragi<input type=hidden>listic it is.</p>", "supercalifragilistic it is."),
+        ("<article><p>So <math><mi>x</mi> = <mn>2</mn></math> holds.</p>", "So x = 2 holds."),
+        (f"<article><datalist><option>a<option value=b>b</datalist><p>{LONG}</p></article>", LONG),
+        (f"<article><div><button>Press</div><p>{LONG}</p></article>", LONG),
+        (f"<article><select><option>a<option>b</select><p>{LONG}</p></article>", LONG),
+        (f"<article><p it's>{LONG}</p><p>It isn't over: {LONG}</p></article>", f"{LONG}\nIt isn't over: {LONG}"),
+        (f"<article><p title=\"a > b\" x='>'>{LONG}</p></article>", LONG),
+        (f"<article><a href=\"never closed>{LONG}</a></article>", LONG),
+        (f'<div class="entry-content has-sidebar"><p>{LONG}</p></div>', LONG),
+        (f'<article class="related-post"><p>{LONG}</p></article>', LONG),
+        (f'<div class="recipe cookies"><h1>Cookies</h1><p>{LONG}</p></div>', f"Cookies\n{LONG}"),
+        (f'<article class="post comments-open" data-id="sidebar"><p>{LONG}</p></article>', LONG),
+        (f'<article><p>{LONG}</p><p>{LONG}</p><div class="entry-footer"><p>Posted by me in things.</p></div></article>', f"{LONG}\n{LONG}"),
+        (f'<article><p>{LONG}</p></article><div id="comment-content"><p>{LONG}</p></div>', LONG),
+        (f'<article><p>{LONG}</p><p>{LONG}</p></article><aside><article><p>{LONG}</p></article></aside>', f"{LONG}\n{LONG}"),
+    ],
+)
+def test_markup_and_names_that_mislead(page, text):
+    assert main_text(page) == text
+
+
+def test_pages_with_mixed_names():
+    """Articles under names that also occur on boilerplate are kept whole, and boilerplate goes."""
+    draw = random.Random(8)
+    words = [w for w in LONG.lower().strip(".").split()] + "river stone winter garden letter candle mountain".split()
+
+    def prose(count):
+        return " ".join(draw.choices(words, k=count)).capitalize() + "."
+
+    mains = ['article class="{}"', 'div class="entry-content {}"', 'main id="{}-page"', 'div id="story" class="with-{}"']
+    edges = ['div class="{}"', 'section id="site-{}"', 'div class="box {}-box"', 'ul class="main-{}"']
+    names = "sidebar newsletter cookies related share notice banner search".split()
+    kept = planted = dropped = noise = 0
+    for _ in range(300):
+        body = [prose(draw.randint(12, 60)) for _ in range(draw.randint(3, 8))]
+        around = [prose(draw.randint(3, 14)) for _ in range(draw.randint(2, 5))]
+        main, name = draw.choice(mains), draw.choice(names)
+        html = "".join(f"<{(e := draw.choice(edges)).format(draw.choice(names))}><p>{t}</p></{e.split()[0]}>" for t in around)
+        opening = main.format(name)
+        page = f"<body class='{name}'>{html}<{opening}>{''.join(f'<p>{t}</p>' for t in body)}</{opening.split()[0]}></body>"
+        found = main_text(page).split("\n")
+        planted, noise = planted + len(body), noise + len(around)
+        kept += sum(t in found for t in body)
+        dropped += sum(t not in found for t in around)
+    assert kept >= 0.99 * planted and dropped >= 0.99 * noise, (kept / planted, dropped / noise)
+
+
 def test_extract_text_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", "<article><p>Ünï 🎉.</p></article>")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit("x"))
