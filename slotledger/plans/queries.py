@@ -14,6 +14,7 @@ from slotledger.functions import exact_number, loses_digits, movement_parts
 from slotledger.operators import billing, bronze, ledger, marts, quality, spine, upsert
 from slotledger.operators.bronze import time_literal
 from slotledger.operators.ids import with_global_ids
+from slotledger.plans.balance_book import BalanceBook
 from slotledger.plans.oracle import DAILY, on_both, on_ledger, on_operations, on_spine
 from slotledger.plans.pipeline import Warehouse
 from slotledger.plans.sample_ledger import AS_OF, POSTING_ORDER, SampleLedger, text
@@ -304,6 +305,93 @@ def lot_balances(sample):
     )
 
 
+# Lots as items; every fiftieth order with double quantities, every seventieth withdrawn.
+_EDITED_LOTS = """
+, sent AS (
+  SELECT * REPLACE (l_partkey || '-' || l_suppkey AS item_id, coalesce(slot_id, 'off_slot') AS slot_id,
+                    IF(doc_id % 50 = 0, 2, 1) * quantity AS quantity)
+  FROM united WHERE doc_id % 70 <> 0 OR doc_id % 50 = 0
+), split_lots AS (
+  SELECT *, CAST(moment AS DATE) AS moment_day, IF(doc_type = 'move', 0, quantity) AS real,
+         CASE WHEN doc_type <> 'move' AND quantity < 0 THEN quantity ELSE 0 END AS real_out
+  FROM sent
+)"""
+
+
+def _edited_book(sample: SampleLedger) -> BalanceBook:
+    """Balances of all lots, then the edits."""
+    columns = ["doc_id", "moment", "item_id", "slot_id", "store_id", "quantity", *[c for c in POSTING_ORDER if c not in (
+        "doc_id", "moment", "item_id", "slot_id", "quantity")]]
+    lots = sample.legs(sample.base()).withColumns(
+        {
+            "item_id": F.concat_ws("-", text("l_partkey"), text("l_suppkey")),
+            "slot_id": F.coalesce("slot_id", F.lit(S.OFF_SLOT)),
+        }
+    ).select(*columns)
+    store = TableStore(sample.spark, scratch_path(sample.spark, "warehouse"))
+    book = BalanceBook(store, POSTING_ORDER, AS_OF)
+    book.build(lots)
+    doubled = (F.col("doc_id") % 50) == 0
+    edits = lots.filter(doubled | (F.col("doc_id") % 70 == 0))
+    again = edits.filter(doubled).withColumn("quantity", 2 * F.col("quantity"))
+    book.edit(edits.select("doc_id").distinct(), again)
+    return book
+
+
+@query(on_ledger(_EDITED_LOTS + """
+, placed AS (
+  SELECT *, row_number() OVER (ORDER BY moment, doc_id, item_id, op_type, number, l_partkey, l_suppkey,
+                               l_extendedprice, quantity, doc_type, slot_id, agent_id) AS place
+  FROM split_lots
+), summed AS (
+  SELECT *, SUM(quantity) OVER (PARTITION BY store_id, slot_id, item_id ORDER BY place) AS close_slot_balance,
+         SUM(real) OVER (PARTITION BY item_id ORDER BY place) AS close_total_balance
+  FROM placed)
+SELECT doc_id, item_id, slot_id, store_id, moment, number, op_type, quantity,
+       close_slot_balance - quantity AS open_slot_balance, close_slot_balance,
+       close_total_balance - real AS open_total_balance, close_total_balance
+FROM summed"""))
+def balances_after_edits(sample):
+    """Balances of every posting after edits, without a rebuild."""
+    return _edited_book(sample).read("operations").select(
+        "doc_id", "item_id", "slot_id", "store_id", "moment", "number", "op_type", "quantity", "open_slot_balance",
+        "close_slot_balance", "open_total_balance", "close_total_balance",
+    )
+
+
+@query(on_ledger(_EDITED_LOTS + """
+, by_day AS (
+  SELECT store_id, slot_id, item_id, moment_day, SUM(quantity) AS quantity, SUM(real_out) AS real_out
+  FROM split_lots GROUP BY ALL
+), changes AS (
+  SELECT *, SUM(quantity) OVER (PARTITION BY store_id, slot_id, item_id ORDER BY moment_day) AS balance,
+         LEAD(moment_day) OVER (PARTITION BY store_id, slot_id, item_id ORDER BY moment_day) AS following
+  FROM by_day
+), item_days AS (
+  SELECT item_id, moment_day, SUM(SUM(real)) OVER (PARTITION BY item_id ORDER BY moment_day) AS total
+  FROM split_lots GROUP BY item_id, moment_day)
+SELECT store_id, slot_id, item_id, moment_day AS first_day,
+       CASE WHEN balance = 0 THEN moment_day ELSE coalesce(following - 1, DATE '2001-12-31') END AS last_day,
+       balance AS close_balance
+FROM changes WHERE balance <> 0 OR real_out <> 0
+UNION ALL
+SELECT NULL, NULL, item_id, moment_day,
+       coalesce(LEAD(moment_day) OVER (PARTITION BY item_id ORDER BY moment_day) - 1, DATE '2001-12-31'), total
+FROM item_days"""))
+def stretches_after_edits(sample):
+    """Stretches of days with one balance, of slots and of items, after edits."""
+    book = _edited_book(sample)
+    slots = book.read("intervals").select(
+        *S.GRAIN, "first_day", "last_day", F.col("close_slot_balance").alias("close_balance")
+    )
+    items = book.read("item_totals").select(
+        F.lit(None).cast(slots.schema["store_id"].dataType).alias("store_id"),
+        F.lit(None).cast("string").alias("slot_id"),
+        "item_id", "first_day", "last_day", F.col("close_total_balance").alias("close_balance"),
+    )
+    return slots.unionByName(items)
+
+
 # --- billing and marts -----------------------------------------------------
 
 def _used(sample: SampleLedger) -> DataFrame:
