@@ -12,7 +12,7 @@ learnt by bootstrapping:
    confidence of ``CONFIDENT``;
 3. an identifier's score is one for a seed, else that at least one of its confident patterns
    is right, taken as independent. New scores change confidences: steps 2 and 3 are repeated
-   until no identifier and no pattern is new, ``ROUNDS`` times at most.
+   until no score changes, ``ROUNDS`` times at most.
 
 An identifier once known is found wherever it stands. Words like "the" come before seeds
 too, but mostly before other words, so they never become confident; without seeds nothing
@@ -216,9 +216,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _occurrences(patterns: DataFrame, texts: DataFrame) -> DataFrame:
     """``pattern`` and how often its words stand in the texts, as ``total``."""
-    numbered = cut(patterns.mapInArrow(_number_patterns, "pattern string, _number bigint"), "patterns")
-    if numbered.isEmpty():
-        return numbered.select("pattern", F.lit(0).cast("bigint").alias("total"))
+    numbered = patterns.mapInArrow(_number_patterns, "pattern string, _number bigint")
     wanted = bounded(numbered.select("_number").distinct(), PATTERNS)
     counted = (
         texts.select("_text").mapInArrow(_count_words, "_number bigint, _times bigint")
@@ -227,22 +225,23 @@ def _occurrences(patterns: DataFrame, texts: DataFrame) -> DataFrame:
     return cut(numbered.join(counted, "_number").select("pattern", "total"), "pattern-totals")
 
 
-def confident_patterns(edges: DataFrame, totals: DataFrame, scores: DataFrame) -> DataFrame:
+def _share(hits: Column | str) -> Column:
+    """Of a pattern's occurrences; ``hits`` in millionths."""
+    return F.least(F.round(F.col(hits).cast("double") / 1e6 / F.col("total"), 6), F.lit(1.0))
+
+
+def confident_patterns(edges: DataFrame, scores: DataFrame) -> DataFrame:
     """``kind``, ``pattern`` and ``confidence`` of the patterns that can be relied on.
 
-    ``edges`` has ``kind``, ``pattern``, ``identifier`` and ``times``; ``scores`` has
-    ``kind``, ``identifier`` and ``score``.
+    ``edges`` has ``kind``, ``pattern``, ``identifier``, ``times`` and the pattern's ``total``;
+    ``scores`` has ``kind``, ``identifier`` and ``score``.
     """
-    known = edges.join(scores, ["kind", "identifier"])
-    hits = known.groupBy("kind", "pattern").agg(
-        F.sum(F.round(F.col("times") * F.col("score") * 1e6).cast("decimal(38,0)")).alias("hits"),
-        F.count("*").alias("known"),
-    )
-    # Whole numbers add up alike in any order. A mention of two kinds may count in both.
-    share = F.round(F.col("hits").cast("double") / 1e6 / F.col("total"), 6)
+    # Whole numbers add up alike in any order.
+    hits = F.sum(F.round(F.col("times") * F.col("score") * 1e6).cast("decimal(38,0)"))
+    known = edges.join(scores, ["kind", "identifier"]).groupBy("kind", "pattern", "total")
     return (
-        hits.filter(F.col("known") >= MIN_KNOWN).join(totals, "pattern")
-        .select("kind", "pattern", F.least(share, F.lit(1.0)).alias("confidence"))
+        known.agg(hits.alias("hits"), F.count("*").alias("known")).filter(F.col("known") >= MIN_KNOWN)
+        .select("kind", "pattern", _share("hits").alias("confidence"))
         .filter(F.col("confidence") >= CONFIDENT)
     )
 
@@ -263,7 +262,7 @@ def bootstrap(mentions: DataFrame, texts: DataFrame, rounds: int = ROUNDS) -> tu
 
     ``mentions`` has ``kind``, ``strict``, ``identifier`` and ``patterns``; ``texts`` has ``_text``.
     """
-    seeds = cut(mentions.filter("strict").select("kind", "identifier").distinct(), "seeds")
+    seeds = mentions.filter("strict").select("kind", "identifier").distinct()
     edges = cut(
         mentions.select("kind", "identifier", F.explode("patterns").alias("pattern"))
         .groupBy("kind", "pattern", "identifier").agg(F.count("*").alias("times")),
@@ -271,19 +270,22 @@ def bootstrap(mentions: DataFrame, texts: DataFrame, rounds: int = ROUNDS) -> tu
     )
     # A pattern with fewer identifiers than it needs to know can never be relied on.
     often = edges.groupBy("kind", "pattern").agg(F.count("*").alias("_met")).filter(F.col("_met") >= MIN_KNOWN)
-    often = cut(often.select("kind", "pattern"), "frequent-patterns")
     totals = _occurrences(often.select("pattern").distinct(), texts)
-    edges = cut(edges.join(often, ["kind", "pattern"], "left_semi"), "frequent-edges")
+    # Only patterns that would be relied on if all they precede were known can ever be.
+    met = edges.groupBy("kind", "pattern").agg(
+        (1e6 * F.sum("times")).alias("_hits"), F.count("*").alias("_met")
+    )
+    able = (F.col("_met") >= MIN_KNOWN) & (_share("_hits") >= CONFIDENT)
+    met = met.join(totals, "pattern").filter(able).select("kind", "pattern", "total")
+    edges = cut(edges.join(met, ["kind", "pattern"]), "able-patterns")
     scores, before = seeds.withColumn("score", F.lit(1.0)), None
-    patterns = confident_patterns(edges, totals, scores)
     for _ in range(rounds):
-        patterns = cut(confident_patterns(edges, totals, scores), "confident")
-        scores = cut(scored(edges, seeds, patterns), "scores")
-        now = (patterns.count(), scores.filter(F.col("score") >= CONFIDENT).count())
+        scores = cut(scored(edges, seeds, confident_patterns(edges, scores)), "scores")
+        now = scores.agg(F.count("*"), F.sum(F.round(F.col("score") * 1e6).cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
-    return scores.filter(F.col("score") >= CONFIDENT), patterns
+    return scores.filter(F.col("score") >= CONFIDENT), confident_patterns(edges, scores)
 
 
 def personal_data(
