@@ -22,6 +22,7 @@ from slotledger.operators import bronze
 from slotledger.operators.bronze import time_literal
 from slotledger.operators.joins import same_keys
 from slotledger.operators.upsert import EPOCH
+from slotledger.plans.contracts import row_rules
 from slotledger.plans.pipeline import Warehouse, each_table
 from slotledger.session import cut, scratch_scope
 from slotledger.sources.tables import Changes
@@ -53,9 +54,9 @@ def _take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
         parse, keys, how, changed = bronze.TABLES[name]
         rows = cut(newest(parse(raw, None), keys, how, changed), f"rows-{name}")
         if not store.exists("bronze", name):
-            store.write(rows, "bronze", name)
+            store.write(rows, "bronze", name, checks=row_rules(name))
         elif not rows.isEmpty():
-            store.merge(rows, "bronze", name, Changes(keys, changed))
+            store.merge(rows, "bronze", name, Changes(keys, changed), checks=row_rules(name))
 
     each_table(load)
 
