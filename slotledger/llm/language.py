@@ -18,7 +18,8 @@ share of the rows.
 Edge cases: a null or letterless text has no text evidence, and is not accepted; missing
 declared language or address: that evidence is left out; repeated rows are judged each;
 long texts go through whole, piece by piece; extra columns are not read; without any
-label everything is ``und``; an empty table gives an empty result.
+label everything is ``und``; of languages that score the same the first by name is taken;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ sequences remain per partition.
 
 Edge cases: a null or empty text has its end token only; long texts span sequences;
 repeated rows are packed each; an example without ids gives no piece; extra columns are
-not read; empty tables give empty results.
+not read; of examples that score the same the one that has waited longest is taken; empty
+tables give empty results.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ make the fewest estimated probes and candidates; the cheapest plan wins. Then:
 Edge cases: null and wordless texts have fingerprint 0 and are linked like any other;
 fewer words than a shingle make one shingle; copies and repeated rows share a
 fingerprint and so a component; ``component_id`` ignores null ids (null where there is no
-other); an empty table gives an empty result.
+other); long texts are read whole, slice by slice; a bit set in exactly half of the hashes
+counts as 0; extra columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations

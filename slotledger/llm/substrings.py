@@ -25,7 +25,9 @@ size. A text that is copied into a third of all rows is met once per block.
 
 Edge cases: a null or wordless text keeps nothing, n_words 0; texts shorter than a
 window are never touched; repeated rows (same id) count as separate places; NUL is
-a letter; an empty table gives an empty result.
+a letter; a text longer than a block is a block of its own; windows that repeat go
+alike in all places, no first one stays; other columns are kept, those named like the
+results replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -303,7 +305,9 @@ def _blocks(docs: DataFrame, text_col: str, blocks: int) -> DataFrame:
         .option("path", scratch_path(spark, "substring-blocks"))
         .saveAsTable(name)
     )
-    return spark.table(name)
+    rows = spark.table(name)  # knows its files and buckets from here on
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files lie outside the warehouse
+    return rows
 
 
 def without_repeats(

@@ -145,6 +145,7 @@ def test_repeated_passages(docs, nothing, block_bytes, monkeypatch):
     untouched = substrings.without_repeats(docs, respace=False).filter("n_removed = 0 AND doc_id = 15")
     assert untouched.first().kept == dict(TEXTS)[15]
     assert substrings.without_repeats(nothing).count() == 0
+    assert not [t for t in docs.sparkSession.catalog.listTables() if t.name.startswith("substring")]
 
 
 def plain_fingerprint(text):
@@ -363,6 +364,14 @@ LIKE_NOTICES = [
 ]
 
 
+def test_columns_that_clash_are_left_alone(docs):
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
+    found = licenses.license_scan(docs.withColumn("labels", F.lit(1)).withColumn("spans", F.lit(2)))
+    assert found.columns == names and found.count() == len(TEXTS)
+    counted = token_counts(docs.withColumn("n_tokens", F.lit(1)), BYTE_BPE, public_tokenizers.PATTERN)
+    assert counted.columns == ["doc_id", "n_bytes", "n_tokens"] and counted.count() == len(TEXTS)
+
+
 def test_license_templates_are_verified_in_order(spark):
     rows = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(LIKE_NOTICES)], "doc_id bigint, text string")
     found = {r.doc_id: (r.labels, round(r.score, 9)) for r in licenses.license_scan(rows).collect()}
