@@ -189,20 +189,20 @@ _PLACE_NAMES = ["store_name", "zone_name", "slot_name", "item_name", "depositor_
 
 def _months(rows: DataFrame, keys: list[str], sums: list[str], texts: list[str] = ()) -> DataFrame:
     """A daily grid month by month, so that it can be compared at any size: how many days, and
-    of each column the sum, the sum weighted by the day of the month, or the least and greatest."""
+    of each column the sum and the sum weighted by the day of the month, or the greatest text."""
     day = F.dayofmonth("moment_day")
     return rows.groupBy(*keys, F.trunc("moment_day", "month").alias("month")).agg(
         F.count("*").alias("days"),
         F.sum(day).cast("double").alias("day"),
         *[F.sum(F.col(c).cast("double")).alias(c) for c in sums],
         *[F.sum(F.col(c).cast("double") * day).alias(f"{c}_dated") for c in sums],
-        *[x for c in texts for x in (F.min(c).alias(f"least_{c}"), F.max(c).alias(f"greatest_{c}"))],
+        *[F.max(c).alias(c) for c in texts],
     )
 
 
 def _months_sql(rows: str, keys: list[str], sums: list[str], texts: list[str] = ()) -> str:
     both = [f"SUM(CAST({c} AS DOUBLE)) AS {c}, SUM(CAST({c} AS DOUBLE) * day(moment_day)) AS {c}_dated" for c in sums]
-    ends = [f"MIN({c}) AS least_{c}, MAX({c}) AS greatest_{c}" for c in texts]
+    ends = [f"MAX({c}) AS {c}" for c in texts]
     shown = ", ".join([
         *keys, "CAST(date_trunc('month', moment_day) AS DATE) AS month", "COUNT(*) AS days",
         "CAST(SUM(day(moment_day)) AS DOUBLE) AS day", *both, *ends,
