@@ -945,9 +945,9 @@ def audit_flatten(sample):
 def _taken_in(sample, existing: DataFrame, batch: DataFrame, changes: Changes, since: dt.datetime | None = None) -> DataFrame:
     """A stored table after a batch, by default of what is newer than all of it."""
     store = TableStore(sample.spark, scratch_path(sample.spark, "warehouse"))
-    store.write(existing, "bronze", "stored")
+    store.write(existing, "bronze", "stored", changed=changes.changed)
     if since is None:
-        since = upsert.high_watermark(store.read("bronze", "stored"), changes.changed) or upsert.EPOCH
+        since = store.latest("bronze", "stored", changes.changed) or upsert.EPOCH
         batch = upsert.newer_than(batch, changes.changed, since)
     store.merge(batch, "bronze", "stored", changes, since=since)
     return store.read("bronze", "stored")
@@ -1028,7 +1028,9 @@ FROM events WHERE ts < TIMESTAMP '{CUTOVER}'""")
 def high_watermark(sample):
     """Where the next load starts after the stored part, and how much it fetches."""
     events = sample.table("events")
-    since = upsert.next_request(events.filter(f"ts < TIMESTAMP_NTZ '{CUTOVER}'"), "ts")
+    store = TableStore(sample.spark, scratch_path(sample.spark, "warehouse"))
+    store.write(events.filter(f"ts < TIMESTAMP_NTZ '{CUTOVER}'"), "bronze", "events", changed="ts")
+    since = store.latest("bronze", "events", "ts") + upsert.STEP
     fetched = upsert.changed_since(events, "ts", since).agg(F.count("*").alias("to_fetch"))
     return fetched.select(time_literal(since).alias("next_request"), "to_fetch")
 

@@ -54,7 +54,7 @@ def _take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
         parse, keys, how, changed = bronze.TABLES[name]
         rows = cut(newest(parse(raw, None), keys, how, changed), f"rows-{name}")
         if not store.exists("bronze", name):
-            store.write(rows, "bronze", name, checks=row_rules(name))
+            store.write(rows, "bronze", name, checks=row_rules(name), changed=changed)
         elif not rows.isEmpty():
             store.merge(rows, "bronze", name, Changes(keys, changed), checks=row_rules(name))
 
