@@ -187,25 +187,23 @@ _BALANCES = [
 _PLACE_NAMES = ["store_name", "zone_name", "slot_name", "item_name", "depositor_name", "depositor_inn", "article"]
 
 
-def _months(rows: DataFrame, keys: list[str], sums: list[str], texts: list[str] = ()) -> DataFrame:
+def _months(rows: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
     """A daily grid month by month, so that it can be compared at any size: how many days, and
-    of each column the sum and the sum weighted by the day of the month, or the greatest text."""
+    of each number the sum and the sum weighted by the day of the month. Texts are among the keys."""
     day = F.dayofmonth("moment_day")
     return rows.groupBy(*keys, F.trunc("moment_day", "month").alias("month")).agg(
         F.count("*").alias("days"),
         F.sum(day).cast("double").alias("day"),
         *[F.sum(F.col(c).cast("double")).alias(c) for c in sums],
         *[F.sum(F.col(c).cast("double") * day).alias(f"{c}_dated") for c in sums],
-        *[F.max(c).alias(c) for c in texts],
     )
 
 
-def _months_sql(rows: str, keys: list[str], sums: list[str], texts: list[str] = ()) -> str:
+def _months_sql(rows: str, keys: list[str], sums: list[str]) -> str:
     both = [f"SUM(CAST({c} AS DOUBLE)) AS {c}, SUM(CAST({c} AS DOUBLE) * day(moment_day)) AS {c}_dated" for c in sums]
-    ends = [f"MAX({c}) AS {c}" for c in texts]
     shown = ", ".join([
         *keys, "CAST(date_trunc('month', moment_day) AS DATE) AS month", "COUNT(*) AS days",
-        "CAST(SUM(day(moment_day)) AS DOUBLE) AS day", *both, *ends,
+        "CAST(SUM(day(moment_day)) AS DOUBLE) AS day", *both,
     ])
     return f"SELECT {shown} FROM {rows} GROUP BY {', '.join(keys)}, date_trunc('month', moment_day)"
 
@@ -255,20 +253,20 @@ _TAGGED = ["store_id", "slot_id", "item_id", "slot_balance_errors"]
 
 
 @query(on_spine(_months_sql(
-    "spine WHERE slot_balance_errors <> ''", _TAGGED, ["id", "items_in_slot", "close_slot_balance"], ["expected_bin_qty"]
+    "spine WHERE slot_balance_errors <> ''", [*_TAGGED, "expected_bin_qty"], ["id", "items_in_slot", "close_slot_balance"]
 )))
 def balance_anomalies(sample):
     rows = _spine(sample).filter("slot_balance_errors != ''")
-    return _months(rows, _TAGGED, ["id", "items_in_slot", "close_slot_balance"], ["expected_bin_qty"])
+    return _months(rows, [*_TAGGED, "expected_bin_qty"], ["id", "items_in_slot", "close_slot_balance"])
 
 
 _SPINE_SUMS = ["id", *_BALANCES, "is_used", "items_in_slot"]
 _SPINE_TEXTS = [*_PLACE_NAMES, "product", "lot", "mfg_date", "depositor_id", "expected_bin_qty"]
 
 
-@query(on_spine(_months_sql("spine", _TAGGED, _SPINE_SUMS, _SPINE_TEXTS)))
+@query(on_spine(_months_sql("spine", [*_TAGGED, *_SPINE_TEXTS], _SPINE_SUMS)))
 def spine_enriched(sample):
-    return _months(_spine(sample), _TAGGED, _SPINE_SUMS, _SPINE_TEXTS)
+    return _months(_spine(sample), [*_TAGGED, *_SPINE_TEXTS], _SPINE_SUMS)
 
 
 @query(on_ledger("""
@@ -431,10 +429,10 @@ _MART_TEXTS = ["depositor_name", "depositor_inn", "zone_name", "article", "produ
 
 
 @query(on_spine(_months_sql(
-    f"(SELECT {', '.join(marts.BALANCE_DAILY_COLUMNS)} FROM spine) m", _MART_KEYS, ["id", *_BALANCES], _MART_TEXTS
+    f"(SELECT {', '.join(marts.BALANCE_DAILY_COLUMNS)} FROM spine) m", [*_MART_KEYS, *_MART_TEXTS], ["id", *_BALANCES]
 )))
 def mart_balance_daily(sample):
-    return _months(marts.balance_daily(_spine(sample)), _MART_KEYS, ["id", *_BALANCES], _MART_TEXTS)
+    return _months(marts.balance_daily(_spine(sample)), [*_MART_KEYS, *_MART_TEXTS], ["id", *_BALANCES])
 
 
 _NO_SLOTS = on_spine("""
