@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from slotledger.llm.support import slices, text_or_empty
-from slotledger.llm.tokens import SLICE_TEXTS, encode_texts
+from slotledger.llm.tokens import SLICE_TEXTS, encode_texts, forget_words
 
 MAX_TOKENS, MAX_SEGMENTS = 4096, 256
 POOL = 256  # examples the heuristic chooses from
@@ -207,7 +207,7 @@ def pack(
     return _run(_given, plain, id_col, (max_tokens, max_segments, max_loss))
 
 
-def _tokenized(path: str, end_id: int, drops_spaces: bool):
+def _tokenized(path: str, end_id: int, drops_spaces: bool, keep_words: bool = True):
     """Whole texts as examples; all ids but the closing one bear loss."""
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[_Example]:
@@ -220,6 +220,8 @@ def _tokenized(path: str, end_id: int, drops_spaces: bool):
                     loss = np.arange(len(own) + 1)
                     loss[-1] -= 1
                     yield _Example(next(keys), own, loss)
+        if not keep_words:
+            forget_words(path)
 
     return examples
 
@@ -234,8 +236,13 @@ def pack_texts(
     max_tokens: int = MAX_TOKENS,
     max_segments: int = MAX_SEGMENTS,
     max_loss: int = MAX_TOKENS,
+    keep_words: bool = True,
 ) -> DataFrame:
-    """Tokenize whole texts with the tokenizer at ``path``, close each with ``end_id`` and pack."""
+    """Tokenize whole texts with the tokenizer at ``path``, close each with ``end_id`` and pack.
+
+    Without ``keep_words`` a worker gives back the memory of the words it knows after each
+    task, for jobs that go on with other work; the next task encodes them again.
+    """
     plain = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-    examples = _tokenized(path, end_id, drops_spaces)
+    examples = _tokenized(path, end_id, drops_spaces, keep_words)
     return _run(examples, plain, id_col, (max_tokens, max_segments, max_loss))

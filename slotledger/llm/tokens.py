@@ -14,7 +14,7 @@ from slotledger.llm.support import once_per_worker
 from slotledger.llm.words import text_buffer
 
 CACHE_WORDS = 600_000  # about 150 MB; once full, new words are kept for one slice only
-SLICE_TEXTS, SLICE_BYTES = 1024, 8 << 20
+SLICE_TEXTS, SLICE_BYTES = 1024, 2 << 20
 _TAILS = (".", ",")
 # Letters that keep being one letter in lower case.
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
@@ -28,6 +28,11 @@ def load(path: str):
     return once_per_worker(("tokenizer", path), lambda: Tokenizer.from_file(path))
 
 
+def forget_words(path: str) -> None:
+    """Give back the memory of the words this worker knows."""
+    once_per_worker(("words", path), dict).clear()
+
+
 def _encode(tokenizer, texts: list[str]) -> list[list[int]]:
     return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
