@@ -95,7 +95,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids in sequences of 4096."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    return pack_texts(docs, "doc_id", path, end_id=2).select(
+    return pack_texts(docs, "doc_id", path, end_id=2, keep_words=False).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 
