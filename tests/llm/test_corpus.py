@@ -73,6 +73,6 @@ def test_empty_documents(spark, sf, tmp_path):
 
 def test_registered_names():
     names = set(__spark_entry__.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {x.split("_")[0] + "_" for x in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {x.split("_")[0] + "_" for x in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= names
     assert set(ORACLES) <= set(QUERIES)
