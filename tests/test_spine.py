@@ -228,3 +228,44 @@ def test_monthly_places_of_two_depositors_with_one_name(spark, rows):
     assert rows(billing.slots_used_monthly(used)) == [
         ("N", "2024-01", 3), ("N", "2024-01", 4), ("N", "2024-02", 3),
     ]
+
+
+def grid_steps(frame, unfolded):
+    """The plan above the step that makes days of stretches."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return plan[: plan.index(f"Generate explode(sequence({unfolded}")]
+
+
+def test_dense_grid_is_neither_sorted_nor_shuffled(case):
+    _, daily, _ = case
+    steps = grid_steps(spine.daily_balances_dense(daily, AS_OF), "from_day")
+    assert "Exchange" not in steps and "Sort" not in steps and "Window" not in steps
+
+
+def test_months_of_a_grain_are_summed_where_its_days_unfold(case):
+    _, daily, _ = case
+    month = F.trunc("moment_day", "month").alias("month")
+    for rows, unfolded in (
+        (spine.daily_balances_dense(daily, AS_OF), "from_day"),
+        (spine.daily_balances(daily, AS_OF), "from_day"),
+        (spine.occupancy_days(daily, AS_OF), "first_day"),
+    ):
+        assert "Exchange" not in grid_steps(rows.groupBy(*S.GRAIN, month).count(), unfolded)
+
+
+def test_parts_grow_with_the_rows(case, monkeypatch):
+    _, daily, _ = case
+    monkeypatch.setattr(spine, "PART_ROWS", 1)
+    assert spine.by_place(daily).rdd.getNumPartitions() == daily.count()
+
+
+def test_slots_of_many_rows_give_the_same_tiles(case, rows):
+    _, daily, _ = case
+    intervals = spine.balance_intervals(daily, AS_OF)
+    shown = [*S.GRAIN, "month", "from_day", "to_day", "close_slot_balance", "_opens", "_closes"]
+    counts = F.transform(F.sequence(F.lit(0), F.lit(30)), lambda d: F.coalesce(F.get("_counts", d), F.lit(0)))
+    plain, hot = (
+        rows(spine.month_tiles(daily, intervals, AS_OF, hot).select(*shown, counts.alias("counts")))
+        for hot in (10**6, 1)
+    )
+    assert plain == hot and any(any(r[-1]) for r in plain)
