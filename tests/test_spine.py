@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from slotledger import schemas as S
-from slotledger.operators import billing, ledger, marts, spine
+from slotledger.operators import billing, ledger, marts, quality, spine
+from slotledger.plans.sample_ledger import SampleLedger
 from tests import brute
 from tests.ledgers import AS_OF, items_frame, ops_frame, owners, random_ops
 
@@ -269,3 +270,19 @@ def test_slots_of_many_rows_give_the_same_tiles(case, rows):
         for hot in (10**6, 1)
     )
     assert plain == hot and any(any(r[-1]) for r in plain)
+
+
+def test_days_are_checked_against_one_another_where_they_unfold(case):
+    _, daily, _ = case
+    intervals = spine.number_intervals(spine.balance_intervals(daily, AS_OF))
+    days = spine.unfold(spine.month_tiles(daily, intervals, AS_OF))
+    for check in (quality.spine_duplicate_grain, quality.spine_day_continuity):
+        assert "Exchange" not in grid_steps(check(days), "from_day")
+        assert check(days).isEmpty()
+
+
+def test_directories_of_the_sample_are_stored_once(spark):
+    sample = SampleLedger(spark, "/root/testdata/sf0.001")
+    assert sample.items() is sample.items() and sample.slots() is sample.slots()
+    for rows in (sample.items(), sample.slots()):
+        assert rows.inputFiles() and all("/items-" in f or "/slots-" in f for f in rows.inputFiles())
