@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from slotledger import schemas as S
 from slotledger.operators import billing, ledger, marts, quality, spine
+from slotledger.plans.queries import QUERIES
 from slotledger.plans.sample_ledger import SampleLedger
 from tests import brute
 from tests.ledgers import AS_OF, items_frame, ops_frame, owners, random_ops
@@ -286,3 +287,8 @@ def test_directories_of_the_sample_are_stored_once(spark):
     assert sample.items() is sample.items() and sample.slots() is sample.slots()
     for rows in (sample.items(), sample.slots()):
         assert rows.inputFiles() and all("/items-" in f or "/slots-" in f for f in rows.inputFiles())
+
+
+@pytest.mark.parametrize("name", ["date_spine"])
+def test_registered_grids_have_a_row_per_day(spark, name):
+    assert "moment_day" in QUERIES[name](spark, "/root/testdata/sf0.001").columns
