@@ -289,6 +289,6 @@ def test_directories_of_the_sample_are_stored_once(spark):
         assert rows.inputFiles() and all("/items-" in f or "/slots-" in f for f in rows.inputFiles())
 
 
-@pytest.mark.parametrize("name", ["date_spine", "spine_enriched"])
+@pytest.mark.parametrize("name", ["date_spine", "spine_enriched", "mart_balance_daily"])
 def test_registered_grids_have_a_row_per_day(spark, name):
     assert "moment_day" in QUERIES[name](spark, "/root/testdata/sf0.001").columns
