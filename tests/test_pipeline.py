@@ -7,7 +7,7 @@ import pytest
 
 from slotledger import schemas as S
 from slotledger.__main__ import main
-from slotledger.operators import upsert
+from slotledger.operators import spine, upsert
 from slotledger.operators.marts import READING_ORDER
 from slotledger.operators.quality import QualityError
 from slotledger.plans.pipeline import Warehouse
@@ -64,6 +64,21 @@ def test_second_day_takes_in_edits_and_deletions(two_days, rows):
     ]
 
 
+def test_month_arrays_are_stored_once(two_days, rows):
+    warehouse, _, _ = two_days
+    tiles = warehouse.table("silver", "spine_tiles")
+    assert not {"_opens", "_closes", "_counts"} & set(tiles.columns)
+    totals = warehouse.table("silver", "item_month_totals")
+    counts = warehouse.table("silver", "slot_month_counts")
+    assert totals.count() == totals.select("item_id", "month").distinct().count() > 0
+    assert counts.count() == counts.select("store_id", "slot_id", "month").distinct().count() > 0
+    whole = spine.daily_spine(
+        warehouse.table("silver", "operations"), warehouse.table("silver", "items_all"),
+        warehouse.table("silver", "slots_all"), warehouse.table("bronze", "stores"), AS_OF,
+    )
+    assert rows(warehouse.spine()) == rows(whole)
+
+
 def test_daily_loads_equal_one_full_load(two_days, spark, tmp_path, rows):
     warehouse, source, _ = two_days
     source.objects = {k: v for k, v in source.objects.items() if k != ("counterparty", "a3")}
