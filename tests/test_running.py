@@ -94,3 +94,26 @@ def test_no_plan_sends_the_ledger_through_one_task(spark):
     frame = ledger.split_movements(ops_frame(spark, random_ops(range(3))))
     plan = ledger.running_balances(frame)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_items_dealt_or_summed_by_day_as_whole(spark, rows):
+    frame = ops_frame(spark, random_ops(range(6)))
+    shown = ["id", "open_slot_balance", "close_slot_balance", "open_total_balance", "close_total_balance"]
+    dealt = ledger.running_balances(frame)
+    split = ledger.split_movements(frame)
+    assert rows(dealt, *shown) == rows(ledger.running_balances(split, dealt_rows=0), *shown)
+    by_day = ledger.running_balances(frame, by_day=True, dealt_rows=0)
+    assert rows(by_day, *shown) == rows(dealt, *shown)
+    assert by_day.dtypes == dealt.dtypes
+
+
+def test_small_items_are_shuffled_once(spark):
+    plan = ledger.running_balances(ops_frame(spark, random_ops(range(3))))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_numbering_goes_on_with_the_columns_kept(spark):
+    frame = spark.range(50).select((-F.col("id")).alias("a"), F.lit("x").alias("wide"), "id")
+    got = with_global_ids(frame, nulls_last(["a", "wide"]), "n", keep=["id"])
+    assert got.columns == ["n", "id"]
+    assert all(r["n"] == 50 - r["id"] for r in got.collect())
