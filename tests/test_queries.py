@@ -11,6 +11,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_queries import TABLES, rows_of
+from slotledger.plans import queries as query_plans
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -56,3 +57,10 @@ def test_loads_without_the_training_data_operators(tmp_path):
             shutil.copy(root / "corpus_pipeline.py", tmp_path)
             code = code.rsplit("from slotledger.session", 1)[0]
         subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=300)
+
+
+def test_reconciliations_store_no_tiles(spark, monkeypatch):
+    stored, cut = [], query_plans.cut
+    monkeypatch.setattr(query_plans, "cut", lambda df, label: stored.append(label) or cut(df, label))
+    query_plans.QUERIES["dq_reconcile_layers"](spark, FOLDER)
+    assert stored == ["ledger", "operations"]
