@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -292,3 +293,33 @@ def test_directories_of_the_sample_are_stored_once(spark):
 @pytest.mark.parametrize("name", ["date_spine", "spine_enriched", "mart_balance_daily"])
 def test_registered_grids_have_a_row_per_day(spark, name):
     assert "moment_day" in QUERIES[name](spark, "/root/testdata/sf0.001").columns
+
+
+def test_places_of_daily_rows_are_counted_without_sorting_the_grid(spark, rows):
+    first = dt.date(2024, 1, 30)
+    held = [(1, "s1", 0, 4, "A"), (1, "s1", 3, 5, "B"), (1, "s2", 1, 2, "B"), (None, "s1", 0, 1, None)]
+    grid = [
+        (owner, slot, first + dt.timedelta(day), name, 1)
+        for owner, slot, begin, end, name in held
+        for day in range(begin, end)
+    ]
+    others = [(1, "s3", first, "A", 2), (1, S.OFF_SLOT, first, "A", 1), (1, None, first, "A", 1)]
+    frame = spark.createDataFrame(
+        grid * 2 + others,
+        "depositor_id BIGINT, slot_id STRING, moment_day DATE, depositor_name STRING, is_used INT",
+    )
+    used = billing.slots_used_daily_from_spine(frame)
+    got = rows(used, "depositor_id", "depositor_name", "moment_day", "slots_used_day")
+    places = {}
+    for owner, slot, day, name, _ in grid:
+        names, slots = places.setdefault((owner, day), (set(), set()))
+        names.add(name)
+        slots.add(slot)
+    want = [(o, max(n, key=str), d, len(p)) for (o, d), (n, p) in places.items()]
+    assert got == sorted(want, key=lambda r: [str(v) for v in r])
+    # What reads the daily rows hashes them.
+    assert re.findall(r"(\w+Aggregate)", spark_plan(used))[-1] == "HashAggregate"
+
+
+def spark_plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
