@@ -323,3 +323,26 @@ def test_places_of_daily_rows_are_counted_without_sorting_the_grid(spark, rows):
 
 def spark_plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rollup_of_daily_rows_hashes_them(spark, rows):
+    first = dt.date(2024, 1, 1)
+    texts = ["depositor_name", "item_name", "depositor_inn", "article", "product", "lot", "mfg_date"]
+    named = [("A", "x", "1", None, None, "l", None), ("B", "x", None, None, None, "k", None)]
+    grid = [
+        (item, first + dt.timedelta(day), *named[(day + slot) % 2], float(day), float(day + slot), 1.0, -0.5 * slot)
+        for item in ("i", "j", None)
+        for slot in range(3)
+        for day in range(4)
+    ]
+    kinds = [f"{name} STRING" for name in texts]
+    totals = [f"{name} DOUBLE" for name in ("open_total_balance", "close_total_balance", "real_in", "real_out")]
+    frame = spark.createDataFrame(grid, ", ".join(["item_id STRING, moment_day DATE", *kinds, *totals]))
+    rolled = marts.balance_daily_no_slots(frame)
+    # Both names meet on each day, so the larger of each text shows.
+    want = [
+        ("B", "x", first + dt.timedelta(day), float(day), 1.5, day + 2.0, "1", None, None, "l", None)
+        for day in range(4)
+    ] * 3
+    assert rows(rolled) == sorted(want, key=lambda r: [str(v) for v in r])
+    assert re.findall(r"(\w+Aggregate)", spark_plan(rolled))[-1] == "HashAggregate"
