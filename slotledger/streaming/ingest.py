@@ -35,9 +35,28 @@ def newest(rows: DataFrame, keys: list[str], how: str, changed: str) -> DataFram
         one = rows.groupBy(*keys).agg(F.max(F.struct(time.alias("_time"), F.struct(*rows.columns).alias("_row"))).alias("_last"))
         return one.select("_last._row.*").select(*rows.columns)
     named = [F.col(k).alias(f"_new_{k}") for k in keys]
-    latest = rows.groupBy(*named).agg(F.max(time).alias("_time"))
-    same = same_keys(rows, latest, [(k, f"_new_{k}") for k in keys])
-    return rows.join(latest, same & (time == latest["_time"])).select(*rows.columns)
+    times = rows.groupBy(*named).agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
+    # Mostly few keys have several versions in a batch: stored, they spare the rows a shuffle.
+    several = cut(times.filter("_first < _last").drop("_first"), "several-versions")
+    same = same_keys(rows, several, [(k, f"_new_{k}") for k in keys])
+    return rows.join(several, same & (time < several["_last"]), "left_anti")
+
+
+def each_once(raw: DataFrame) -> DataFrame:
+    """The objects of a stored batch, each once.
+
+    Hashes tell which may be there twice; only those are compared as a whole, so the others
+    are not shuffled.
+    """
+    digest = F.xxhash64("entity", "raw_json").alias("_digest")
+    counted = raw.groupBy(digest).agg(F.count("*").alias("_times"))
+    repeated = cut(counted.filter("_times > 1").select("_digest"), "repeated")
+    if repeated.isEmpty():
+        return raw
+    marked = raw.select("*", digest)
+    alone = marked.join(repeated, "_digest", "left_anti").select(*raw.columns)
+    again = marked.join(repeated, "_digest", "left_semi").select(*raw.columns).distinct()
+    return cut(alone.unionByName(again), "once", by="entity").select(*raw.columns)
 
 
 def take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
@@ -48,14 +67,16 @@ def take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
 
 def _take_in(warehouse: Warehouse, raw: DataFrame, batch_id: int) -> None:
     store = warehouse.store
-    raw = cut(raw.distinct(), f"stream-{batch_id}", by="entity")
+    raw = each_once(cut(raw, f"stream-{batch_id}", by="entity", gathered=True))
 
     def load(name: str) -> None:
         parse, keys, how, changed = bronze.TABLES[name]
-        rows = cut(newest(parse(raw, None), keys, how, changed), f"rows-{name}")
+        rows = newest(parse(raw, None), keys, how, changed)
         if not store.exists("bronze", name):
             store.write(rows, "bronze", name, checks=row_rules(name), changed=changed)
-        elif not rows.isEmpty():
+            return
+        rows = cut(rows, f"rows-{name}")  # looked at more than once
+        if not rows.isEmpty():
             store.merge(rows, "bronze", name, Changes(keys, changed), checks=row_rules(name))
 
     each_table(load)

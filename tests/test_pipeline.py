@@ -7,7 +7,7 @@ import pytest
 
 from slotledger import schemas as S
 from slotledger.__main__ import main
-from slotledger.operators import spine, upsert
+from slotledger.operators import bronze, spine, upsert
 from slotledger.operators.marts import READING_ORDER
 from slotledger.operators.quality import QualityError
 from slotledger.plans.pipeline import Warehouse
@@ -15,7 +15,7 @@ from slotledger.session import shared_folder
 from slotledger.sources.raw import entity_scan, read_landing, read_raw, tag
 from slotledger.sources.tables import TableStore
 from slotledger.streaming import ingest_stream
-from slotledger.streaming.ingest import take_in
+from slotledger.streaming.ingest import each_once, newest, take_in
 from tests.objects import at, first_day, position, second_day
 
 AS_OF = dt.date(2024, 1, 10)
@@ -353,6 +353,28 @@ def test_a_repeated_batch_is_passed_over(spark, tmp_path, rows):
     assert rows(warehouse.table("bronze", "demand"), "quantity") == [(-9,)]
 
 
+def test_objects_and_versions_of_one_batch_count_once(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path), AS_OF)
+    source = first_day()
+    old = source.frame(spark)
+    source.document("demand", "o1", at(4), position("v1", 9, "s1"), position("v1", 9, "s1"), updated=at(8))
+    batch = old.unionByName(source.frame(spark)).unionByName(old)
+    take_in(warehouse, batch, 0)
+    found = warehouse.table("bronze", "demand")
+    assert rows(found.filter("doc_id = 'o1'"), "position", "quantity") == [(0, -9), (1, -9)]
+    assert found.groupBy("doc_id", "position").count().filter("count > 1").isEmpty()
+    assert rows(each_once(batch)) == rows(batch.distinct())
+
+
+def test_rows_of_a_batch_are_not_shuffled_for_their_versions(spark, tmp_path):
+    landed = first_day().frame(spark)
+    landed.write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.schema(landed.schema).parquet(str(tmp_path / "raw"))
+    parse, keys, how, changed = bronze.TABLES["demand"]
+    plan = newest(parse(each_once(raw), None), keys, how, changed)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
 def test_an_older_file_does_not_overwrite(spark, tmp_path, rows):
     warehouse = Warehouse(spark, str(tmp_path), AS_OF)
 
