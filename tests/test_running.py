@@ -1,9 +1,10 @@
 from pyspark.sql import functions as F
 
 from slotledger.functions import nulls_last
-from slotledger.operators import ledger
+from slotledger.operators import ledger, running
 from slotledger.operators.ids import with_global_ids, with_global_starts
 from slotledger.operators.running import heavy_groups, previous_value, running_sums
+from slotledger.session import cut
 from tests import brute
 from tests.ledgers import ops_frame, random_ops
 
@@ -117,3 +118,24 @@ def test_numbering_goes_on_with_the_columns_kept(spark):
     got = with_global_ids(frame, nulls_last(["a", "wide"]), "n", keep=["id"])
     assert got.columns == ["n", "id"]
     assert all(r["n"] == 50 - r["id"] for r in got.collect())
+
+
+def test_small_chunks_share_a_range_partition(spark, monkeypatch):
+    stored = []
+
+    def noted(df, label, **how):
+        stored.append((label, cut(df, label, **how)))
+        return stored[-1][1]
+
+    monkeypatch.setattr(running, "cut", noted)
+    frame = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("k"), "id", (F.col("id") % 7).alias("v")
+    )
+    order = nulls_last(["id"])
+    summed = running_sums(frame, ["k"], order, F.col("v"), "o", "c", hot_rows=100)
+    whole = running_sums(frame, ["k"], order, F.col("v"), "o", "c")
+    assert sorted(map(tuple, summed.collect())) == sorted(map(tuple, whole.collect()))
+    chunks = next(df for label, df in stored if label == "chunks")
+    sizes = [r["count"] for r in chunks.groupBy("_chunk").count().collect()]
+    assert max(sizes) <= 100 and len(sizes) >= 50
+    assert len(chunks.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
