@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slotledger import schemas as S
+from slotledger.functions import balance_tags
 from slotledger.operators import billing, ledger, marts, quality, spine
 from slotledger.plans.queries import QUERIES
 from slotledger.plans.sample_ledger import SampleLedger
@@ -346,3 +347,32 @@ def test_rollup_of_daily_rows_hashes_them(spark, rows):
     ] * 3
     assert rows(rolled) == sorted(want, key=lambda r: [str(v) for v in r])
     assert re.findall(r"(\w+Aggregate)", spark_plan(rolled))[-1] == "HashAggregate"
+
+
+def test_counts_and_tags_of_the_grid_cost_little_a_row(spark, case):
+    _, daily, grid = case
+    intervals = spine.balance_intervals(daily, AS_OF)
+    tiles = spine.month_tiles(daily, intervals, AS_OF)
+    plan = spark_plan(tiles)
+    window = next(line for line in plan.splitlines() if "Window [" in line)
+    assert window.count("windowspecdefinition(store_id") <= 11
+    places = [(items, close, expected) for items in (None, 0, 1, 2) for close in (None, -1, 0, 1, 2) for expected in (None, 1, 2)]
+    frame = spark.createDataFrame(places, "items BIGINT, close INT, expected INT")
+    columns = [F.col(c) for c in frame.columns]
+    shown = frame.select(*columns, balance_tags(*columns).alias("tags"))
+    for items, close, expected, tags in shown.collect():
+        found = [S.TAG_MIXED_SLOT] * ((items or 0) > 1)
+        found += [S.TAG_UNEXPECTED] * ((close or 0) > 0 and expected is not None and close != expected)
+        assert tags == S.TAG_SEPARATOR.join(found)
+    assert "concat_ws" not in spark_plan(shown)
+
+
+def test_a_slot_of_many_items_is_counted_on_every_day(spark):
+    first, last = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
+    tiles = spark.range(3000).select(
+        F.lit("s").alias("store_id"), F.lit("p").alias("slot_id"), F.lit(1).alias("close_slot_balance"),
+        F.lit(first).alias("month"),
+        F.date_add(F.lit(first), (F.col("id") % 31).cast("int")).alias("from_day"), F.lit(last).alias("to_day"),
+    )
+    counts = spine._with_counts(tiles).select("_counts").distinct().collect()
+    assert [r[0] for r in counts] == [[sum(1 for i in range(3000) if i % 31 < day) for day in range(1, 32)]]
