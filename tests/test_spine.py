@@ -257,6 +257,34 @@ def test_months_of_a_grain_are_summed_where_its_days_unfold(case):
         assert "Exchange" not in grid_steps(rows.groupBy(*S.GRAIN, month).count(), unfolded)
 
 
+def test_few_item_totals_spare_the_tiles_a_shuffle(spark, case, monkeypatch):
+    _, daily, _ = case
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(limit)
+
+    def built():
+        intervals = spine.balance_intervals(daily, AS_OF)
+        return (
+            spine.unfold(spine.month_tiles(daily, intervals, AS_OF)).select(*SHOWN),
+            spine.daily_balances_dense(daily, AS_OF).select(*SHOWN),
+        )
+
+    spark.conf.set(limit, "-1")
+    try:
+        sent = built()
+        for grid in sent:
+            steps = grid_steps(grid.groupBy(*S.GRAIN).count(), "from_day")
+            assert "Exchange" not in steps
+        assert all("SortMergeJoin" not in spark_plan(grid) for grid in sent)
+        monkeypatch.setattr(spine, "SENT_TOTALS", 0)
+        joined = built()
+        assert all("SortMergeJoin" in spark_plan(grid) for grid in joined)
+        for one, other in zip(sent, joined):
+            assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+    finally:
+        spark.conf.set(limit, usual)
+
+
 def test_parts_grow_with_the_rows(case, monkeypatch):
     _, daily, _ = case
     monkeypatch.setattr(spine, "PART_ROWS", 1)
