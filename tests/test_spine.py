@@ -285,6 +285,36 @@ def test_few_item_totals_spare_the_tiles_a_shuffle(spark, case, monkeypatch):
         spark.conf.set(limit, usual)
 
 
+def test_slot_names_spare_the_tiles_a_shuffle(spark, case, monkeypatch):
+    ops, _, _ = case
+    split = ledger.split_movements(ops_frame(spark, ops))
+    items, slots, stores = directories(spark, ops)
+    # Most slots are unknown to the directory; one entry bears the name of goods off the slots.
+    listed = slots.unionByName(
+        slots.limit(1).withColumns({"slot_id": F.lit(S.OFF_SLOT), "slot_name": F.lit("odd")})
+    )
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(limit)
+    shown = [c for c in spine.SPINE_COLUMNS if c != "id"]
+    spark.conf.set(limit, "-1")
+    try:
+        tiles = spine.spine_tiles(split, F.broadcast(items), listed, F.broadcast(stores), AS_OF)
+        plan = spark_plan(tiles)
+        above = plan[: plan.index("Generate explode(sequence(trunc(first_day")]
+        assert "SortMergeJoin" not in above and "Exchange hashpartitioning" not in above
+        together = spine.read_spine(tiles).select(*shown)
+        monkeypatch.setattr(spine, "_places_fit", lambda rows, hot_rows, keys=spine._PLACE: keys == spine._PLACE)
+        apart = spine.read_spine(
+            spine.spine_tiles(split, items, listed, stores, AS_OF)
+        ).select(*shown)
+        assert together.count() > 100
+        assert together.exceptAll(apart).isEmpty() and apart.exceptAll(together).isEmpty()
+        names = {r[0] for r in together.filter(F.col("slot_id") == S.OFF_SLOT).select("slot_name").distinct().collect()}
+        assert names == {S.OFF_SLOT}
+    finally:
+        spark.conf.set(limit, usual)
+
+
 def test_parts_grow_with_the_rows(case, monkeypatch):
     _, daily, _ = case
     monkeypatch.setattr(spine, "PART_ROWS", 1)
