@@ -79,6 +79,20 @@ def test_month_arrays_are_stored_once(two_days, rows):
     assert rows(warehouse.spine()) == rows(whole)
 
 
+def test_checks_read_tiles_without_a_shuffle(two_days, rows):
+    """No rule reads slot counts, and few item totals go to the tiles whatever the session broadcasts."""
+    warehouse, _, _ = two_days
+    spark, setting = warehouse.spark, "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        days = spine.read_spine(warehouse.tiles(counted=False)).drop("items_in_slot", "slot_balance_errors")
+        assert "Exchange hashpartitioning" not in days._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(setting, before)
+    assert rows(days) == rows(warehouse.spine().select(*days.columns))
+
+
 def test_daily_loads_equal_one_full_load(two_days, spark, tmp_path, rows):
     warehouse, source, _ = two_days
     source.objects = {k: v for k, v in source.objects.items() if k != ("counterparty", "a3")}
