@@ -8,6 +8,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_queries import TABLES, rows_of
@@ -64,3 +65,12 @@ def test_reconciliations_store_no_tiles(spark, monkeypatch):
     monkeypatch.setattr(query_plans, "cut", lambda df, label: stored.append(label) or cut(df, label))
     query_plans.QUERIES["dq_reconcile_layers"](spark, FOLDER)
     assert stored == ["ledger", "operations"]
+
+
+@pytest.mark.parametrize("name", ["mart_balance_daily"])
+def test_all_days_are_given_by_item_and_month(spark, name):
+    """Days that share their totals are neighbours, so that they compress where they are stored."""
+    days = query_plans.QUERIES[name](spark, FOLDER)
+    shown = days.select(F.spark_partition_id(), "item_name", F.trunc("moment_day", "MM")).collect()
+    met = [tuple(row) for row in shown]
+    assert len(met) > 1000 and met == sorted(met)
