@@ -67,7 +67,7 @@ def test_reconciliations_store_no_tiles(spark, monkeypatch):
     assert stored == ["ledger", "operations"]
 
 
-@pytest.mark.parametrize("name", ["mart_balance_daily"])
+@pytest.mark.parametrize("name", ["mart_balance_daily", "spine_enriched"])
 def test_all_days_are_given_by_item_and_month(spark, name):
     """Days that share their totals are neighbours, so that they compress where they are stored."""
     days = query_plans.QUERIES[name](spark, FOLDER)
